@@ -176,7 +176,15 @@ def _correlations(df: DataFrame, named: dict[str, Column]) -> DataFrame:
     names = list(named)
     values = df.select(*[c.cast("double").alias(n) for n, c in named.items()])
     pairs = list(combinations(names, 2))
-    one = values.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+
+    def corr(a: str, b: str) -> Column:
+        # Spelled out, because the built-in raises for a column without spread.
+        spread = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(
+            F.when(F.col(a).isNotNull(), F.col(b))
+        )
+        return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+
+    one = values.agg(*[corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     cells = F.array(
         *[
             F.struct(
@@ -185,8 +193,7 @@ def _correlations(df: DataFrame, named: dict[str, Column]) -> DataFrame:
             for i, (a, b) in enumerate(pairs)
         ]
     )
-    found = one.select(F.explode(cells).alias("_c")).select("_c.*")
-    return found.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+    return one.select(F.explode(cells).alias("_c")).select("_c.*")
 
 
 def pearson_pairs(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.plans.registry import ORACLE, QUERIES, Job
 
-_MODULES = ("layers",)
+_MODULES = ("layers", "profile")
 
 
 def _load() -> None:
