@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.plans.registry import ORACLE, QUERIES, Job
 
-_MODULES = ("layers", "profile")
+_MODULES = ("layers", "profile", "ranking")
 
 
 def _load() -> None:
