@@ -289,16 +289,17 @@ def _exogenous(day: str) -> list[Column]:
 
 
 def exogenous_changes(days: DataFrame, day: str = "data") -> DataFrame:
-    """Add each calendar column's change since the day before; needs no neighbouring row."""
-    now = days.select("*", *_exogenous(day))
-    before = now.withColumn("_before", F.date_sub(day, 1))
-    past = before.select(
-        "*", *[c.alias(f"_p_{n}") for c, n in zip(_exogenous("_before"), EXOGENOUS)]
-    )
-    return past.select(
-        *days.columns,
-        *[(F.col(c) - F.col(f"_p_{c}")).cast("double").alias(f"_x_{c}") for c in EXOGENOUS],
+    """Add each calendar column's change since the day before.
+
+    The calendar is worked out once per distinct day and joined; it has as many rows as days.
+    """
+    both = days.select(day).distinct().withColumn("_before", F.date_sub(day, 1))
+    now = both.select("*", *_exogenous(day))
+    past = now.select("*", *[c.alias(f"_p_{n}") for c, n in zip(_exogenous("_before"), EXOGENOUS)])
+    changes = past.select(
+        day, *[(F.col(c) - F.col(f"_p_{c}")).cast("double").alias(f"_x_{c}") for c in EXOGENOUS]
     )
+    return days.join(changes, day, "left").select(*days.columns, *[f"_x_{c}" for c in EXOGENOUS])
 
 
 def design_rows(daily: DataFrame, keys: list[str], value: str, day: str = "data") -> DataFrame:
@@ -324,7 +325,7 @@ def _chosen(seasonal: bool, exog: list[str], order: int) -> list[int]:
 def fit_autoregressions(
     train: DataFrame, future: DataFrame, keys: list[str], value: str, day: str = "data"
 ) -> DataFrame:
-    """(keys, fold, spec, p, bic, beta, forecasts): order by BIC and a recursive forecast per variant.
+    """(keys, fold, spec, p, bic, beta, start, path): order by BIC and a recursive forecast per variant.
 
     ``train`` holds design rows with a fold; ``future`` holds (keys, fold, day) of the days to predict.
     Spark sums the cross products and gathers at most a horizon of calendar rows per (series, fold);
@@ -349,6 +350,7 @@ def fit_autoregressions(
         F.datediff("_last", day) < SEASON
     )
     state = tail.groupBy(*group).agg(
+        F.max(day).alias("start"),
         F.max_by(value, day).cast("double").alias("level"),
         F.transform(F.array_sort(F.collect_list(F.struct(day, "_d"))), lambda s: s["_d"]).alias("changes"),
     )
@@ -391,26 +393,33 @@ def fit_autoregressions(
                         changes.append(step)
                         level += step
                         path.append(level)
-                    out.append((*ids, spec, order, float(bic), beta.tolist(), path))
-            yield pd.DataFrame(out, columns=[*group, "spec", "p", "bic", "beta", "path"])
+                    out.append((*ids, spec, order, float(bic), beta.tolist(), row.start, path))
+            yield pd.DataFrame(out, columns=[*group, "spec", "p", "bic", "beta", "start", "path"])
 
     return one_row.mapInPandas(
-        solve, f"{fields}, spec string, p int, bic double, beta array<double>, path array<double>"
+        solve, f"{fields}, spec string, p int, bic double, beta array<double>, start date, path array<double>"
     )
 
 
-def autoregression_forecasts(
-    fits: DataFrame, future: DataFrame, keys: list[str], day: str = "data"
-) -> DataFrame:
-    """(keys, fold, model, h, data, forecast) from fitted paths."""
-    first = future.groupBy(*keys, "fold").agg(F.date_sub(F.min(day), 1).alias("_start"))
-    steps = fits.select(*keys, "fold", F.col("spec").alias("model"), F.posexplode("path").alias("_i", "forecast"))
-    return steps.join(first, [*keys, "fold"]).select(
+def autoregression_forecasts(fits: DataFrame, keys: list[str], day: str = "data") -> DataFrame:
+    """(keys, fold, model, p, bic, h, data, forecast) from fitted paths."""
+    steps = fits.select(
+        *keys,
+        "fold",
+        F.col("spec").alias("model"),
+        "p",
+        "bic",
+        "start",
+        F.posexplode("path").alias("_i", "forecast"),
+    )
+    return steps.select(
         *keys,
         "fold",
         "model",
+        "p",
+        "bic",
         (F.col("_i") + 1).alias("h"),
-        F.date_add("_start", F.col("_i") + 1).alias(day),
+        F.date_add("start", F.col("_i") + 1).alias(day),
         "forecast",
     )
 

@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.plans.registry import ORACLE, QUERIES, Job
 
-_MODULES = ("layers", "profile", "ranking", "forecast")
+_MODULES = ("layers", "profile", "ranking", "forecast", "risk")
 
 
 def _load() -> None:

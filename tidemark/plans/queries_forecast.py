@@ -9,6 +9,7 @@ from tidemark.operators import forecast, series
 from tidemark.operators.folds import expanding_folds
 from tidemark.plans.queries_layers import _sql_folds
 from tidemark.plans.registry import query, rounded, with_tickets
+from tidemark.session import settle
 from tidemark.sources.tables import table, tickets
 
 KEYS = ["serie"]
@@ -391,11 +392,10 @@ def _design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def arx_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _design(spark, sf_dir)
     fits = forecast.fit_autoregressions(train, test, KEYS, "total")
-    points = forecast.autoregression_forecasts(fits, test, KEYS)
+    points = forecast.autoregression_forecasts(fits, KEYS)
     scored = forecast.with_actuals(points, test, KEYS, "total")
-    metrics = forecast.forecast_metrics(scored, [*KEYS, "fold", "model"])
-    orders = fits.select("serie", "fold", F.col("spec").alias("model"), "p", rounded("bic", 4).alias("bic"))
-    return metrics.join(orders, ["serie", "fold", "model"])
+    metrics = forecast.forecast_metrics(scored, [*KEYS, "fold", "model", "p", "bic"])
+    return metrics.withColumn("bic", rounded("bic", 4))
 
 
 @query("arx_parsimony")
@@ -415,8 +415,9 @@ def arx_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("fold"),
         F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", 7))).alias("data"),
     )
-    fits = forecast.fit_autoregressions(train, ahead, KEYS, "total")
-    points = forecast.autoregression_forecasts(fits, ahead, KEYS)
+    # A small table read twice: by the forecasts and by the residuals behind their bounds.
+    fits = settle(forecast.fit_autoregressions(train, ahead, KEYS, "total"), "fits")
+    points = forecast.autoregression_forecasts(fits, KEYS).drop("p", "bic")
     residuals = forecast.autoregression_residuals(train, fits, KEYS, "total")
     banded = forecast.residual_interval(points, residuals, [*KEYS, "fold", "model"])
     return banded.drop("fold").withColumns(

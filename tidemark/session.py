@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # One local folder per process, used only where the session names no shared one.
 _LOCAL: dict[str, str] = {}
@@ -50,3 +50,10 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 def parallel_parts(spark: SparkSession, floor: int = 8, ceiling: int = 1024) -> int:
     """Into how many range pieces an ordered operator cuts its input."""
     return max(floor, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table to the shared work folder and read it back: it survives lost executors."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
