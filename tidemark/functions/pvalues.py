@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from math import lgamma
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def _upper_gamma(a: float, x: float) -> float:
@@ -39,7 +40,7 @@ def _upper_gamma(a: float, x: float) -> float:
     return float(value * scale)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _chi2_tail(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(
         [

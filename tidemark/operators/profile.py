@@ -9,7 +9,8 @@ from tidemark.functions.calendar import day_spine, sunday_week_label
 from tidemark.operators.ordering import exact_quantiles
 from tidemark.sources.contracts import unpivot_text
 
-ROWS = F.count(F.lit(1))
+def row_count() -> Column:
+    return F.count(F.lit(1))
 
 
 def eligible(df: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     kinds = dict(df.dtypes)
     if approximate:
         sums = df.agg(
-            ROWS.alias("_rows"),
+            row_count().alias("_rows"),
             *[F.count(c).alias(f"f_{c}") for c in df.columns],
             *[F.approx_count_distinct(c).alias(f"d_{c}") for c in df.columns],
         )
@@ -45,7 +46,7 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
         )
         found = sums.select(F.explode(cells).alias("_r")).select("_r.*")
     else:
-        counts = unpivot_text(df, df.columns).groupBy("column_name", "value").agg(ROWS.alias("n"))
+        counts = unpivot_text(df, df.columns).groupBy("column_name", "value").agg(row_count().alias("n"))
         filled = F.col("value").isNotNull()
         found = counts.groupBy("column_name").agg(
             F.coalesce(F.sum(F.when(filled, F.col("n"))), F.lit(0)).alias("n_filled"),
@@ -80,7 +81,7 @@ def temporal_coverage(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def group_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows per key; a null in any key drops the row, as in the tables this replaces."""
-    return df.dropna(subset=keys).groupBy(*keys).agg(ROWS.alias("n"))
+    return df.dropna(subset=keys).groupBy(*keys).agg(row_count().alias("n"))
 
 
 def rate_by(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
@@ -88,7 +89,7 @@ def rate_by(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
     return (
         df.dropna(subset=keys)
         .groupBy(*keys)
-        .agg(ROWS.alias("n"), F.sum(flag).alias("n_positive"))
+        .agg(row_count().alias("n"), F.sum(flag).alias("n_positive"))
         .withColumn("rate_pct", F.bround(100.0 * F.col("n_positive") / F.col("n"), 2))
     )
 
@@ -135,7 +136,7 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
 def crosstab_margins(df: DataFrame, a: str, b: str, label: str = "All") -> DataFrame:
     """Long contingency table with row, column and grand totals under ``label``."""
     cells = df.dropna(subset=[a, b]).cube(a, b).agg(
-        ROWS.alias("n"), F.grouping(a).alias("_ga"), F.grouping(b).alias("_gb")
+        row_count().alias("n"), F.grouping(a).alias("_ga"), F.grouping(b).alias("_gb")
     )
     return cells.select(
         F.when(F.col("_ga") == 1, F.lit(label)).otherwise(F.col(a)).alias(a),
@@ -163,7 +164,7 @@ def pareto(df: DataFrame, value: str, top: int, keep_null: bool = False) -> Data
     report's ``top`` rows and divided by the total of all values.
     """
     rows = df if keep_null else df.where(F.col(value).isNotNull())
-    counts = rows.groupBy(value).agg(ROWS.alias("n"))
+    counts = rows.groupBy(value).agg(row_count().alias("n"))
     total = counts.agg(F.sum("n")).scalar()
     leading = counts.orderBy(F.desc("n"), F.asc_nulls_first(value)).limit(top)
     running = Window.orderBy(F.desc("n"), F.asc_nulls_first(value)).rowsBetween(
@@ -183,7 +184,7 @@ def cardinality(df: DataFrame, columns: list[str]) -> DataFrame:
         unpivot_text(df, columns)
         .where(F.col("value").isNotNull())
         .groupBy("column_name", "value")
-        .agg(ROWS.alias("n"))
+        .agg(row_count().alias("n"))
     )
     return counts.groupBy("column_name").agg(
         F.sum("n").alias("n_filled"), F.count(F.lit(1)).alias("n_distinct")
@@ -194,7 +195,7 @@ def duplicate_counts(df: DataFrame, key_sets: dict[str, list[str]]) -> DataFrame
     """(scope, n_rows, n_repeated): rows that repeat an earlier one, nulls being equal."""
     parts = []
     for scope, keys in key_sets.items():
-        copies = df.groupBy(*keys).agg(ROWS.alias("_n"))
+        copies = df.groupBy(*keys).agg(row_count().alias("_n"))
         parts.append(
             copies.agg(
                 F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
@@ -212,7 +213,7 @@ def top_groups(df: DataFrame, group: str, n: int) -> DataFrame:
     return (
         df.where(F.col(group).isNotNull())
         .groupBy(group)
-        .agg(ROWS.alias("_n"))
+        .agg(row_count().alias("_n"))
         .orderBy(F.desc("_n"), group)
         .limit(n)
         .select(group)
@@ -238,7 +239,7 @@ def weekly_positives(df: DataFrame, time: str, flag: str) -> DataFrame:
     return (
         df.where((F.col(flag) == 1) & F.col(time).isNotNull())
         .groupBy(sunday_week_label(F.to_date(time)).alias("week"))
-        .agg(ROWS.alias("n"))
+        .agg(row_count().alias("n"))
     )
 
 
@@ -253,7 +254,7 @@ def dispersion_index(df: DataFrame, time: str, flag: str) -> DataFrame:
         F.coalesce("_y", F.lit(0)).alias("_y")
     )
     stats = full.agg(
-        ROWS.alias("n_days"), F.avg("_y").alias("mean"), F.var_samp("_y").alias("variance")
+        row_count().alias("n_days"), F.avg("_y").alias("mean"), F.var_samp("_y").alias("variance")
     )
     return stats.withColumn("dispersion", F.col("variance") / F.nullif(F.col("mean"), F.lit(0.0)))
 
@@ -272,7 +273,7 @@ def weekend_ratio(df: DataFrame, time: str, flag: str) -> DataFrame:
 
 def mode_by(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Most frequent value per key; the smallest among equals."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(ROWS.alias("n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(row_count().alias("n"))
     return counts.groupBy(*keys).agg(
         F.min_by(value, F.struct(-F.col("n"), F.col(value))).alias("mode"), F.max("n").alias("n")
     )
@@ -299,7 +300,7 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     return (
         placed.withColumn("bin", F.least(place, F.lit(bins)).cast("int"))
         .groupBy("bin", "_lo", "_hi")
-        .agg(ROWS.alias("n"))
+        .agg(row_count().alias("n"))
         .select(
             "bin",
             (F.col("_lo") + (F.col("bin") - 1) * width).alias("lower"),
@@ -316,7 +317,7 @@ def boxplot_stats(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     # Repeated values are counted before they meet the quartiles.
-    counts = rows.groupBy(*keys, value).agg(ROWS.alias("_c"))
+    counts = rows.groupBy(*keys, value).agg(row_count().alias("_c"))
     return counts.join(box, keys).groupBy(*keys).agg(
         F.max("n").alias("n"),
         F.min(value).alias("min"),
@@ -335,7 +336,7 @@ def null_share_by(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     sums = (
         df.where(F.col(group).isNotNull())
         .groupBy(group)
-        .agg(ROWS.alias("n"), *[F.count(c).alias(f"_f_{c}") for c in columns])
+        .agg(row_count().alias("n"), *[F.count(c).alias(f"_f_{c}") for c in columns])
     )
     cells = F.array(
         *[
@@ -355,7 +356,7 @@ def value_shares(df: DataFrame, columns: list[str]) -> DataFrame:
         unpivot_text(df, columns)
         .where(F.col("value").isNotNull())
         .groupBy("column_name", "value")
-        .agg(ROWS.alias("n"))
+        .agg(row_count().alias("n"))
     )
     totals = counts.groupBy("column_name").agg(F.sum("n").alias("_t"))
     return counts.join(totals, "column_name").select(

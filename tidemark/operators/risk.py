@@ -30,7 +30,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import add_prior
@@ -562,8 +562,9 @@ def term_weights(
     idf = terms.select("term", (F.log((1 + size) / (1 + F.col("df"))) + 1).alias("idf"))
     # The vocabulary has a fixed number of rows, so every task can hold it.
     raw = tf.join(F.broadcast(idf), "term").withColumn("_w", F.col("tf") * F.col("idf"))
-    length = raw.groupBy(row_id).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_l"))
-    return raw.join(length, row_id).select(row_id, "term", (F.col("_w") / F.col("_l")).alias("weight"))
+    # A row meets at most the vocabulary, so its length is a small window.
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(row_id)))
+    return raw.select(row_id, "term", (F.col("_w") / length).alias("weight"))
 
 
 @dataclass
