@@ -38,9 +38,8 @@ def kind(values) -> set[str]:
     return {type(v).__name__ for v in values if v is not None}
 
 
-def compare(spark, con, sf_dir: str, job, sql: str | None):
+def compare(con, frame, sql: str | None):
     """None when equal, else what differs; with the row count."""
-    frame = job(spark, sf_dir)
     names = frame.columns
     rows = [tuple(r) for r in frame.collect()]
     if sql is None:
@@ -89,7 +88,7 @@ def main(sf: str, wanted: list[str]) -> int:
     for name in wanted or jobs:
         start = time.time()
         try:
-            problem, n = compare(spark, con, sf_dir, jobs[name], sqls.get(name))
+            problem, n = compare(con, jobs[name](spark, sf_dir), sqls.get(name))
         except Exception as error:  # report and go on
             lines = str(error).strip().splitlines() or [repr(error)]
             problem, n = " | ".join(lines[:4])[:600], -1

@@ -148,12 +148,3 @@ def test_year_filter_reaches_the_scan(spark, sf_dir):
 def test_first_per_key_prunes_before_the_shuffle(spark, sf_dir):
     text = plan_text(spark_entry.queries()["dedup_first"](spark, sf_dir))
     assert text.count("WindowGroupLimit") == 2
-
-
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
-def test_no_cross_join(spark, sf_dir, name):
-    if name in {"logit_folds", "logit_significance", "gbt_risk", "gbt_tuning", "feature_importance",
-                "text_clusters", "cluster_rate", "mlp_risk", "batch_score", "feature_matrix"}:
-        pytest.skip("fits models while it is built")
-    text = plan_text(spark_entry.queries()[name](spark, sf_dir))
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
