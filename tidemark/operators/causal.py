@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import Cuts, add_prior
+from tidemark.operators.ordering import Cuts, add_prior, find_cuts
 
 MICROS_PER_HOUR = 3_600_000_000
 
@@ -39,7 +39,10 @@ def prior_count(
         done = add_prior(keyed, [key], [time, tiebreak], sums={out: F.lit(1)}, cuts=cuts)
     elif ties == "strict":
         instants = keyed.groupBy(key, time).agg(F.count(F.lit(1)).alias("_n"))
-        before = add_prior(instants, [key], [time], sums={out: F.col("_n")}, cuts=cuts)
+        cuts = cuts or find_cuts(keyed, [time])
+        before = add_prior(
+            instants, [key], [time], sums={out: F.col("_n")}, cuts=Cuts(first=cuts.first)
+        )
         done = keyed.join(before.drop("_n"), [key, time], "left").select(*df.columns, out)
     else:
         raise ValueError(f"ties must be 'sequence' or 'strict', not {ties!r}")
@@ -132,7 +135,11 @@ def rolling_prior_count(
             )
         ).alias("r"),
     ).select(key, "r.*")
-    running = add_prior(reads, [key], ["at", "kind"], sums={"_before": F.col("n")}, cuts=cuts)
+    # Within a key an instant occurs twice at most, so the first level of cuts is enough.
+    cuts = cuts or find_cuts(keyed, [time])
+    running = add_prior(
+        reads, [key], ["at", "kind"], sums={"_before": F.col("n")}, cuts=Cuts(first=cuts.first)
+    )
     load = running.groupBy(key, F.col("of").alias("_t")).agg(
         F.sum(F.when(F.col("kind") == 1, F.col("_before")).otherwise(-F.col("_before"))).alias(out)
     )

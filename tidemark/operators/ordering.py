@@ -140,13 +140,14 @@ def value_counts_before(
     ``extra`` adds further sums with their own ``*_before`` running totals.
     """
     extra = extra or {}
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(n) for n, c in extra.items()])
+    filled = df.where(F.col(value).isNotNull())
+    counts = filled.groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(n) for n, c in extra.items()]
     )
     wanted = {f"{name}_before": F.col(name) for name in ["n", *extra]}
-    return add_prior(counts, keys, [value], sums=wanted)
+    # Cuts come from the rows, one column and no shuffle; a segment then holds at most as many distinct
+    # values as its even share of the rows.
+    return add_prior(counts, keys, [value], sums=wanted, cuts=find_cuts(filled, [value]))
 
 
 def midranks(df: DataFrame, keys: list[str], value: str, out: str = "midrank") -> DataFrame:

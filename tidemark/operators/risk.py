@@ -30,12 +30,13 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import add_prior
 from tidemark.operators.profile import sample_rows
 from tidemark.operators.ranking import average_precision, poisson_weight, hash_uniform
+from tidemark.session import settle, work_folder
 from tidemark.sources.contracts import unpivot_text
 
 MISSING = "Ausente"
@@ -281,6 +282,16 @@ def positive_probability(column: str = "probability") -> Column:
     return vector_to_array(F.col(column)).getItem(1)
 
 
+def stored(model, purpose: str = "model"):
+    """Save a fitted model to the shared work folder and load it back.
+
+    A loaded model drops its training summary, and with it the session that summary holds on to.
+    """
+    path = work_folder(SparkSession.active(), purpose)
+    model.save(path)
+    return type(model).load(path)
+
+
 # --- logistic models -----------------------------------------------------------------------------
 
 
@@ -317,7 +328,7 @@ def fit_logistic(
         maxIter=max_iter,
     )
     stages = linear_stages(CATEGORICAL, NUMERIC, n_rows)
-    model = Pipeline(stages=[*stages, learner]).fit(ready)
+    model = stored(Pipeline(stages=[*stages, learner]).fit(ready))
     return LinearRiskModel(model, vector_names(model, CATEGORICAL, NUMERIC))
 
 
@@ -508,8 +519,6 @@ def tune_boosted(
 
     The last fifth by time validates.  Trials run side by side as independent jobs.
     """
-    from tidemark.session import settle
-
     marked = settle(temporal_split(train, time=time, tiebreak=row_id), "tuning")
     fit_part, check = marked.where("part = 'fit'"), marked.where("part = 'validation'")
     if not check.where(F.col(target) == 1).take(1):
@@ -608,6 +617,7 @@ def fit_text_clusters(
             ).fit(data)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
+        best = stored(best, "clusters")
         probe = best.transform(sample_rows(data, row_id, sample, seed))
         several = len(probe.select("cluster").distinct().take(2)) == 2
         silhouette = (
@@ -658,7 +668,7 @@ def fit_perceptron(
         labelCol=target, layers=[width, *hidden, 2], maxIter=max_iter, seed=seed
     )
     fitted = learner.fit(repeat_positives(data, target))
-    return PipelineModel([*prep.stages, fitted])
+    return stored(PipelineModel([*prep.stages, fitted]))
 
 
 def tune_perceptron(
@@ -671,8 +681,6 @@ def tune_perceptron(
     seed: int = 42,
 ) -> tuple[dict, list[tuple[dict, float]]]:
     """Best configuration by average precision on the last 15 % of the training rows by time."""
-    from tidemark.session import settle
-
     marked = settle(
         temporal_split(train, time=time, tiebreak=row_id, validation_share=0.15), "grid"
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import day_calendar, ticket_calendar, week_of_wednesday
 from tidemark.functions.text import clean_text, token_count
 from tidemark.operators import causal
-from tidemark.operators.ordering import Cuts, exact_quantiles, find_cuts
+from tidemark.operators.ordering import exact_quantiles, find_cuts
 from tidemark.operators.series import daily_counts, lags, mean_of_previous
 from tidemark.sources.contracts import coerce_timestamps, require_columns
 
@@ -68,10 +68,11 @@ def upper_cap(df: DataFrame, value: str, quantile: float = 0.99) -> DataFrame:
 
 def capped(df: DataFrame, value: str, out: str, quantile: float = 0.99) -> DataFrame:
     """Cap a column at its quantile; null stays null."""
-    cap = upper_cap(df, value, quantile).scalar()
-    return df.withColumn(
-        out, F.when(F.col(value) > cap, cap).otherwise(F.col(value).cast("double"))
-    )
+    return df.withColumn(out, _at_most(value, upper_cap(df, value, quantile).scalar()))
+
+
+def _at_most(value: str, cap: Column) -> Column:
+    return F.when(F.col(value) > cap, cap).otherwise(F.col(value).cast("double"))
 
 
 def cap_report(df: DataFrame, value: str, quantile: float = 0.99) -> DataFrame:
@@ -100,12 +101,11 @@ def bronze(raw: DataFrame, contract: list[str], text_times: bool = False) -> Dat
     return coerce_timestamps(raw, TIME_COLUMNS) if text_times else raw
 
 
-def silver(df: DataFrame, *, year: int, seq: str = "numero") -> DataFrame:
-    """One row per ticket of one year, with flags, capped duration, clean text and coverage."""
-    clean = first_per_key(df.where(in_year("aberto", year)), keys=["numero"], seq=seq)
-    clean = capped(consistency_flags(clean), "duracao", "duracao_capped_p99")
-    return clean.withColumns(
+def silver_columns(clean: DataFrame, cap: Column) -> DataFrame:
+    """Flags, duration capped at ``cap``, its logarithm, clean text and coverage."""
+    return consistency_flags(clean).withColumns(
         {
+            "duracao_capped_p99": _at_most("duracao", cap),
             "duracao_log": log_duration("duracao"),
             "descricao_limpa": clean_text(F.col("descricao_resumida")),
             "flag_categorizado": F.col("produto").isNotNull(),
@@ -113,6 +113,12 @@ def silver(df: DataFrame, *, year: int, seq: str = "numero") -> DataFrame:
     )
 
 
+def silver(df: DataFrame, *, year: int, seq: str = "numero") -> DataFrame:
+    """One row per ticket of one year, with flags, capped duration, clean text and coverage."""
+    clean = first_per_key(df.where(in_year("aberto", year)), keys=["numero"], seq=seq)
+    return silver_columns(clean, upper_cap(clean, "duracao").scalar())
+
+
 def gold_daily(tickets: DataFrame) -> DataFrame:
     """Gap-filled daily volume with calendar, lags 1..7 and the mean of the seven days before."""
     days = daily_counts(
@@ -204,7 +210,7 @@ def ticket_history(tickets: DataFrame, text: str = "descricao_limpa") -> DataFra
         key="grupo_designado",
         time="aberto",
         out="grupo_chamados_ultima_hora",
-        cuts=Cuts(first=cuts.first),
+        cuts=cuts,
     )
     frames.append(load.select("numero", "grupo_chamados_ultima_hora"))
     history = frames[0]
