@@ -484,22 +484,22 @@ def fit_boosted(
     )
     rates = [f"taxa_{c}" for c in CATEGORICAL]
     flags = [f"nulo_{c}" for c in _NULLABLE]
+    encoded = settle(_tree_inputs(encoded), "encoded")
     prep = Pipeline(
         stages=[
             RegexTokenizer(inputCol=TEXT, outputCol="tokens", pattern="\\w\\w+", gaps=False),
             CountVectorizer(inputCol="tokens", outputCol="words", vocabSize=vocabulary, minDF=2),
             VectorAssembler(inputCols=[*rates, *NUMERIC, *flags, "words"], outputCol="features"),
         ]
-    ).fit(_tree_inputs(encoded))
-    ready = with_balanced_weight(prep.transform(_tree_inputs(encoded)), target).select(
+    ).fit(encoded)
+    ready = with_balanced_weight(prep.transform(encoded), target).select(
         F.col(target).cast("double").alias(target), "features", "peso"
     )
     options = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0, **params}
-    ready.persist()
-    try:
-        trees = GBTClassifier(labelCol=target, weightCol="peso", seed=seed, **options).fit(ready)
-    finally:
-        ready.unpersist()
+    # Stored first: the tree rounds then run on as many tasks as the matrix is large.
+    trees = GBTClassifier(labelCol=target, weightCol="peso", seed=seed, **options).fit(
+        settle(ready, "matrix")
+    )
     slots = [*CATEGORICAL, *NUMERIC, *_NULLABLE, *[TEXT] * len(prep.stages[1].vocabulary)]
     return BoostedRiskModel(prep, trees, slots, prior, train, target, row_id)
 
