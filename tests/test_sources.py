@@ -76,6 +76,12 @@ def test_contract_errors(spark, sf_dir):
     contracts.require_no_leakage(rows.drop(*contracts.LEAKAGE_COLUMNS), contracts.LEAKAGE_COLUMNS, "numero")
 
 
+def test_type_contract(spark, sf_dir):
+    with pytest.raises(contracts.ContractError, match="duracao"):
+        contracts.require_types(tickets(spark, sf_dir).withColumn("duracao", F.lit("1")), contracts.TICKET_TYPES)
+    contracts.require_types(tickets(spark, sf_dir), contracts.TICKET_TYPES)
+
+
 def test_known_domains_hold(spark, sf_dir):
     assert contracts.domain_violations(tickets(spark, sf_dir), contracts.TICKET_DOMAINS).count() == 0
 

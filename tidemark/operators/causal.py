@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import Cuts, add_prior, find_cuts
+from tidemark.session import settle
 
 MICROS_PER_HOUR = 3_600_000_000
 
@@ -154,12 +155,18 @@ def rolling_prior_count(
 def low_volume_flag(
     df: DataFrame, *, group: str, out: str, minimum: int = 100
 ) -> DataFrame:
-    """True where the group has fewer than ``minimum`` rows in ``df``; false for a null group."""
-    small = (
+    """True where the group has fewer than ``minimum`` rows in ``df``; false for a null group.
+
+    The small groups are stored first: their size is then known when the join is planned, and the wide
+    rows are shuffled only where the groups are too many for one task's memory.
+    """
+    small = settle(
         df.where(F.col(group).isNotNull())
         .groupBy(group)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(group, (F.col("_n") < minimum).alias(out))
+        .where(F.col("_n") < minimum)
+        .select(group, F.lit(True).alias(out)),
+        "small-groups",
     )
     return df.join(small, group, "left").select(
         *df.columns, F.coalesce(F.col(out), F.lit(False)).alias(out)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import cyclic, holiday_flags
 from tidemark.operators.folds import Fold, assign_folds
+from tidemark.operators.series import weekly_sums
 
 ENSEMBLE_WEIGHTS = [1.0, 0.7, 0.5, 0.3, 0.0]
 EXOGENOUS = [
@@ -254,6 +255,41 @@ def weekly_projection(
     )
 
 
+def weekly_direct(
+    train: DataFrame, keys: list[str], value: str, day: str = "data", factor: float = 5.0
+) -> DataFrame:
+    """(keys, fold, n_weeks, last_week, phi, week, implausible): next week from the weekly grain itself.
+
+    A first-order autoregression of the changes between complete weeks; unlikely sums are marked.
+    """
+    group = [*keys, "fold"]
+    weeks = weekly_sums(train, value=value, keys=group, day=day).where(F.col("n_days") == SEASON)
+    w = Window.partitionBy(*group).orderBy("week_end")
+    changes = weeks.withColumn("_d", (F.col("total") - F.lag("total").over(w)).cast("double"))
+    changes = changes.withColumn("_d1", F.lag("_d").over(w))
+    pairs = F.col("_d1").isNotNull()
+    fits = changes.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n_weeks"),
+        F.max_by("total", "week_end").alias("last_week"),
+        F.max_by("_d", "week_end").alias("_last_d"),
+        F.regr_slope("_d", "_d1").alias("phi"),
+        F.avg(F.when(pairs, F.col("_d"))).alias("_y"),
+        F.avg(F.when(pairs, F.col("_d1"))).alias("_x"),
+    )
+    # Without spread there is no slope and the mean change stands in.
+    phi = F.coalesce("phi", F.lit(0.0))
+    step = F.coalesce(F.col("_y") + phi * (F.col("_last_d") - F.col("_x")), F.lit(0.0))
+    week = F.col("last_week") + step
+    return fits.select(
+        *group,
+        "n_weeks",
+        "last_week",
+        "phi",
+        week.alias("week"),
+        ((week < 0) | (week > factor * F.col("last_week"))).alias("implausible"),
+    )
+
+
 def ceiling_alert(
     weekly: DataFrame, contracts: DataFrame, keys: list[str], ceiling: str = "ceiling"
 ) -> DataFrame:
@@ -299,7 +335,7 @@ def exogenous_changes(days: DataFrame, day: str = "data") -> DataFrame:
     changes = past.select(
         day, *[(F.col(c) - F.col(f"_p_{c}")).cast("double").alias(f"_x_{c}") for c in EXOGENOUS]
     )
-    return days.join(changes, day, "left").select(*days.columns, *[f"_x_{c}" for c in EXOGENOUS])
+    return days.join(F.broadcast(changes), day, "left").select(*days.columns, *[f"_x_{c}" for c in EXOGENOUS])
 
 
 def design_rows(daily: DataFrame, keys: list[str], value: str, day: str = "data") -> DataFrame:

@@ -88,14 +88,16 @@ def add_prior(
     order: list[str],
     sums: dict[str, Column] | None = None,
     maxima: dict[str, Column] | None = None,
+    wholes: dict[str, str] | None = None,
     cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add, per row, sums (0 at the start) and maxima (null at the start) over the rows before it.
 
-    ``keys`` must not be null.  ``order`` must be a total order inside a key, first column numeric or
+    ``wholes`` maps further columns to names in ``sums`` whose total over the whole key they hold; the
+    totals per segment are at hand, so this takes no further shuffle.  ``keys`` must not be null.  ``order`` must be a total order inside a key, first column numeric or
     temporal.
     """
-    sums, maxima = sums or {}, maxima or {}
+    sums, maxima, wholes = sums or {}, maxima or {}, wholes or {}
     cuts = cuts or find_cuts(df, order)
     rows = add_segment(df, order, cuts)
     for name, value in {**sums, **maxima}.items():
@@ -113,6 +115,7 @@ def add_prior(
         *group,
         *[F.sum(f"_t_{n}").over(over_segments).alias(f"_o_{n}") for n in sums],
         *[F.max(f"_t_{n}").over(over_segments).alias(f"_o_{n}") for n in maxima],
+        *[F.sum(f"_t_{of}").over(Window.partitionBy(*keys)).alias(n) for n, of in wholes.items()],
     )
     inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.select(
@@ -129,25 +132,24 @@ def add_prior(
             for n in sums
         ],
         *[F.coalesce(F.col(f"_p_{n}"), F.col(f"_o_{n}")).alias(n) for n in maxima],
+        *wholes,
     )
 
 
-def value_counts_before(
-    df: DataFrame, keys: list[str], value: str, extra: dict[str, Column] | None = None
-) -> DataFrame:
-    """One row per (key, value): ``n`` rows, ``n_before`` rows with a smaller value.
-
-    ``extra`` adds further sums with their own ``*_before`` running totals.
-    """
-    extra = extra or {}
+def value_counts_before(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(key, value, n, n_before, n_key): rows per value, with a smaller value, and of the whole key."""
     filled = df.where(F.col(value).isNotNull())
-    counts = filled.groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(n) for n, c in extra.items()]
-    )
-    wanted = {f"{name}_before": F.col(name) for name in ["n", *extra]}
+    counts = filled.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     # Cuts come from the rows, one column and no shuffle; a segment then holds at most as many distinct
     # values as its even share of the rows.
-    return add_prior(counts, keys, [value], sums=wanted, cuts=find_cuts(filled, [value]))
+    return add_prior(
+        counts,
+        keys,
+        [value],
+        sums={"n_before": F.col("n")},
+        wholes={"n_key": "n_before"},
+        cuts=find_cuts(filled, [value]),
+    )
 
 
 def midranks(df: DataFrame, keys: list[str], value: str, out: str = "midrank") -> DataFrame:
@@ -165,18 +167,13 @@ def exact_quantiles(
     No task holds more than a range segment of the distinct values of a key.
     """
     ranked = value_counts_before(df, keys, value)
-    size = ranked.groupBy(*keys).agg(F.sum("n").alias("_size"))
-    if keys:
-        ranked = ranked.join(size, keys)
-    else:
-        ranked = ranked.withColumn("_size", size.select("_size").scalar())
     first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
     picks = []
     for name, p in probs.items():
-        place = (F.col("_size") - 1) * F.lit(float(p))
+        place = (F.col("n_key") - 1) * F.lit(float(p))
         for side, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             picks.append(F.max(F.when(at.between(first, last), F.col(value))).alias(f"_{name}_{side}"))
-    found = ranked.groupBy(*keys).agg(F.max("_size").alias("n"), *picks)
+    found = ranked.groupBy(*keys).agg(F.max("n_key").alias("n"), *picks)
     return found.select(
         *keys,
         "n",

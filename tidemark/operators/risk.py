@@ -85,8 +85,12 @@ def group_rate_scores(
 
     ``keys`` (folds) keep several splits apart in one job.
     """
-    rates = train.where(F.col(category).isNotNull()).groupBy(*keys, category).agg(
-        F.avg(target).alias("_rate")
+    # Stored, the rates have a known size, so the planner can tell whether every task may hold them.
+    rates = settle(
+        train.where(F.col(category).isNotNull())
+        .groupBy(*keys, category)
+        .agg(F.avg(target).alias("_rate")),
+        "rates",
     )
     overall = train.groupBy(*keys).agg(F.avg(target).alias("_all"))
     if keys:
@@ -157,12 +161,12 @@ def temporal_split(
     df: DataFrame, *, time: str, tiebreak: str, validation_share: float = 0.2, out: str = "part"
 ) -> DataFrame:
     """Mark the last share of the rows by time as 'validation', the rest as 'fit'."""
-    placed = add_prior(df, [], [time, tiebreak], sums={"_before": F.lit(1)})
-    size = df.agg(F.count(F.lit(1))).scalar()
+    placed = add_prior(
+        df, [], [time, tiebreak], sums={"_before": F.lit(1)}, wholes={"_size": "_before"}
+    )
     cut = F.floor(F.col("_size") * F.lit(1 - validation_share))
     return (
-        placed.withColumn("_size", size)
-        .withColumn(out, F.when(F.col("_before") < cut, F.lit("fit")).otherwise(F.lit("validation")))
+        placed.withColumn(out, F.when(F.col("_before") < cut, F.lit("fit")).otherwise(F.lit("validation")))
         .drop("_before", "_size")
     )
 
@@ -215,10 +219,11 @@ def encode_scoring(
     strength: float = 1.0,
 ) -> DataFrame:
     """Add the same columns to rows outside the training part, from its totals."""
-    totals = (
+    totals = settle(
         _category_cells(train, columns, [target])
         .groupBy("column_name", "value")
-        .agg(F.sum(target).alias("_y"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum(target).alias("_y"), F.count(F.lit(1)).alias("_n")),
+        "totals",
     )
     cells = _category_cells(test, columns, [row_id]).join(totals, ["column_name", "value"], "left")
     rate = (F.coalesce("_y", F.lit(0)) + F.lit(strength * prior)) / (

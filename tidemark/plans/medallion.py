@@ -10,7 +10,7 @@ from tidemark.functions.text import clean_text, token_count
 from tidemark.operators import causal
 from tidemark.operators.ordering import exact_quantiles, find_cuts
 from tidemark.operators.series import daily_counts, lags, mean_of_previous
-from tidemark.sources.contracts import coerce_timestamps, require_columns
+from tidemark.sources.contracts import TICKET_TYPES, coerce_timestamps, require_columns, require_types
 
 UNCATEGORISED = "Não categorizado"
 P2_P3 = ["2 - Alta", "3 - Média"]
@@ -98,7 +98,9 @@ def log_duration(value: str) -> Column:
 def bronze(raw: DataFrame, contract: list[str], text_times: bool = False) -> DataFrame:
     """Contract check and minimal typing: nothing else happens here."""
     require_columns(raw, contract)
-    return coerce_timestamps(raw, TIME_COLUMNS) if text_times else raw
+    typed = coerce_timestamps(raw, TIME_COLUMNS) if text_times else raw
+    require_types(typed, TICKET_TYPES)
+    return typed
 
 
 def silver_columns(clean: DataFrame, cap: Column) -> DataFrame:
@@ -163,7 +165,8 @@ def gold_weekly(tickets: DataFrame) -> DataFrame:
         "duracao",
         {"duracao_mediana_semana": 0.5},
     ).drop("n")
-    return cells.join(coverage, "semana", "left").join(medians, ["semana", "prioridade"], "left")
+    # One row per week.
+    return cells.join(F.broadcast(coverage), "semana", "left").join(medians, ["semana", "prioridade"], "left")
 
 
 def queue_pressure(tickets: DataFrame) -> DataFrame:
@@ -171,9 +174,10 @@ def queue_pressure(tickets: DataFrame) -> DataFrame:
     pressure = gold_daily(tickets).select(
         "data", F.col("media_movel_7d_ate_ontem").alias("pressao_fila_7d")
     )
+    # One row per calendar day, so every task can hold it and the tickets are not shuffled.
     return (
         tickets.withColumn("data", F.to_date("aberto"))
-        .join(pressure, "data", "left")
+        .join(F.broadcast(pressure), "data", "left")
         .select(*tickets.columns, "pressao_fila_7d")
     )
 
@@ -235,6 +239,6 @@ def gold_risk(silver_tickets: DataFrame, minimum: int = 100) -> DataFrame:
     )
     return (
         flagged.join(ticket_history(silver_tickets), "numero", "left")
-        .join(pressure, "data", "left")
+        .join(F.broadcast(pressure), "data", "left")
         .select(*RISK_COLUMNS)
     )

@@ -345,6 +345,22 @@ def weekly_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_all(_weekly(spark, sf_dir), ["low", "high"])
 
 
+@query(
+    "weekly_direct",
+    f"""WITH {_TRAIN}, w AS (SELECT serie, fold, date_trunc('week', data - INTERVAL 2 DAY) AS k, CAST(sum(total) AS BIGINT) AS total
+      FROM tr GROUP BY 1, 2, 3 HAVING count(*) = 7),
+    g AS (SELECT *, total - lag(total) OVER (PARTITION BY serie, fold ORDER BY k) AS y FROM w),
+    h AS (SELECT *, lag(y) OVER (PARTITION BY serie, fold ORDER BY k) AS x FROM g),
+    m AS (SELECT serie, fold, count(*) AS n_weeks, arg_max(total, k) AS last_week, arg_max(y, k) AS last_y,
+      regr_slope(y, x) AS phi, regr_intercept(y, x) AS c FROM h GROUP BY 1, 2)
+    SELECT serie, fold, n_weeks, last_week, round(phi, 6) AS phi, round(last_week + c + phi * last_y, 6) AS week,
+      last_week + c + phi * last_y < 0 OR last_week + c + phi * last_y > 5 * last_week AS implausible FROM m""",
+)
+def weekly_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _sides(spark, sf_dir)
+    return _rounded_all(forecast.weekly_direct(train, KEYS, "total"), ["phi", "week"])
+
+
 @query(
     "ceiling_alert",
     f"""WITH {_WEEK}, k AS (SELECT o_orderpriority AS serie, CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE

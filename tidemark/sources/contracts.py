@@ -30,6 +30,19 @@ TICKET_CONTRACT = [
     "kpi_violado",
 ]
 
+# Types after the minimal typing of the first layer, where they matter downstream.
+TICKET_TYPES = {
+    "aberto": "timestamp_ntz",
+    "resolvido": "timestamp_ntz",
+    "encerrado": "timestamp_ntz",
+    "duracao": "bigint",
+    "prioridade": "string",
+    "status": "string",
+    "entrou_kpi": "string",
+    "kpi_violado": "string",
+    "descricao_resumida": "string",
+}
+
 # The known value domains.
 TICKET_DOMAINS = {
     "prioridade": ["1 - Crítica", "2 - Alta", "3 - Média", "4 - Baixa", "5 - Muito Baixa"],
@@ -63,6 +76,14 @@ def require_columns(df: DataFrame, expected: list[str]) -> list[str]:
     return sorted(set(df.columns) - set(expected))
 
 
+def require_types(df: DataFrame, types: dict[str, str]) -> None:
+    """Raise where a present column has another type than declared (names as Spark prints them)."""
+    found = dict(df.dtypes)
+    wrong = {c: (found[c], t) for c, t in sorted(types.items()) if c in found and found[c] != t}
+    if wrong:
+        raise ContractError(f"{len(wrong)} column(s) with an unexpected type (found, declared): {wrong}")
+
+
 def contract_status(df: DataFrame, expected: list[str]) -> DataFrame:
     """(column_name, status, n_filled): ok, missing or extra, with the number of filled cells."""
     names = sorted(set(expected) | set(df.columns))
