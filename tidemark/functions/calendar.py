@@ -109,19 +109,26 @@ def day_calendar(day: str = "data") -> list[Column]:
     ]
 
 
+def hour_calendar(time: str = "aberto") -> list[Column]:
+    """Columns of the opening hour."""
+    hour = F.hour(time)
+    return [
+        hour.alias("hora_abertura"),
+        *cyclic(hour, 24, "hora"),
+        shift_name(hour).alias("turno_abertura"),
+        (shift_name(hour) != "comercial").cast("int").alias("fora_horario_comercial"),
+    ]
+
+
 def ticket_calendar(time: str = "aberto") -> list[Column]:
-    """Ticket-grain calendar columns of an opening time."""
-    at = F.col(time)
-    day, hour = F.to_date(at), F.hour(at)
+    """Ticket-grain calendar columns of an opening time, hour and day."""
+    day = F.to_date(time)
     dow = weekday_number(day)
     return [
-        hour.alias("hora_abertura"),
+        *hour_calendar(time),
         dow.alias("dia_semana"),
         (dow >= 5).cast("int").alias("fim_de_semana"),
-        *cyclic(hour, 24, "hora"),
         *cyclic(dow, 7, "dow"),
-        shift_name(hour).alias("turno_abertura"),
-        (shift_name(hour) != "comercial").cast("int").alias("fora_horario_comercial"),
         *holiday_flags(day),
     ]
 

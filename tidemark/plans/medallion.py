@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.calendar import day_calendar, ticket_calendar, week_of_wednesday
+from tidemark.functions.calendar import day_calendar, hour_calendar, week_of_wednesday
 from tidemark.functions.text import clean_text, token_count
 from tidemark.operators import causal
 from tidemark.operators.ordering import exact_quantiles, find_cuts
@@ -14,6 +14,9 @@ from tidemark.sources.contracts import TICKET_TYPES, coerce_timestamps, require_
 
 UNCATEGORISED = "Não categorizado"
 P2_P3 = ["2 - Alta", "3 - Média"]
+DAY_COLUMNS = [
+    "dia_semana", "fim_de_semana", "feriado", "vespera_feriado", "dia_seguinte_feriado", "dow_sin", "dow_cos",
+]
 TIME_COLUMNS = ["aberto", "resolvido", "encerrado"]
 
 # The columns of the ticket-grain risk table, in order.
@@ -227,18 +230,19 @@ def gold_risk(silver_tickets: DataFrame, minimum: int = 100) -> DataFrame:
     """Ticket-grain table of what is known at opening time, with the target columns."""
     base = silver_tickets.withColumn("data", F.to_date("aberto")).select(
         "*",
-        *ticket_calendar("aberto"),
+        *hour_calendar("aberto"),
         token_count(F.col("descricao_limpa")).alias("descricao_n_tokens"),
         F.col("incidente_pai").isNotNull().cast("int").alias("tem_incidente_pai"),
     )
-    pressure = gold_daily(silver_tickets).select(
-        "data", F.col("media_movel_7d_ate_ontem").alias("pressao_fila_7d")
+    # Day columns are worked out once per day and joined; the daily table covers every ticket's day.
+    days = gold_daily(silver_tickets).select(
+        "data", *DAY_COLUMNS, F.col("media_movel_7d_ate_ontem").alias("pressao_fila_7d")
     )
     flagged = causal.low_volume_flag(
         base, group="grupo_designado", out="grupo_baixo_volume", minimum=minimum
     )
     return (
         flagged.join(ticket_history(silver_tickets), "numero", "left")
-        .join(F.broadcast(pressure), "data", "left")
+        .join(F.broadcast(days), "data", "left")
         .select(*RISK_COLUMNS)
     )
