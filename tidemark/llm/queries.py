@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, licenses, mixing, secrets
+from tidemark.llm import chat_format, decontaminate, langid, licenses, mixing, quality, secret_scan
 from tidemark.llm.common import table
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -146,7 +146,7 @@ _KINDS = "\nUNION ALL ".join(
     f"SELECT doc_id, {rank} AS rank, {sql_text(r.kind)} AS kind, {r.group} AS grp, {r.least} AS least, {sql_text(r.pattern)} AS p, "
     f"regexp_extract_all(t, {sql_text(r.pattern)}) AS hit, regexp_extract_all(t, {sql_text(r.pattern)}, {r.group}) AS kept, "
     f"string_split_regex(t, {sql_text(r.pattern)}) AS gap FROM docs"
-    for rank, r in enumerate(secrets.RULES)
+    for rank, r in enumerate(secret_scan.RULES)
 )
 
 
@@ -172,8 +172,8 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN listed USING (doc_id)""",
 )
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    findings, _ = secrets.scan_versions(table(spark, sf_dir, "documents"))
-    return secrets.findings_digest(findings)
+    findings, _ = secret_scan.scan_versions(table(spark, sf_dir, "documents"))
+    return secret_scan.findings_digest(findings)
 
 
 # Op 8 -------------------------------------------------------------------------------------------------------
@@ -204,3 +204,16 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
 )
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Ops 9 and 10 -----------------------------------------------------------------------------------------------
+
+
+@query("op9_quality_pu")
+def op9_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
