@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, langid, licenses, mixing, quality, secret_scan
+from tidemark.llm import chat_format, decontaminate, langid, licenses, minhash, mixing, quality, secret_scan
 from tidemark.llm.common import table
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -217,3 +217,11 @@ def op9_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+# Op 2 -------------------------------------------------------------------------------------------------------
+
+
+@query("op2_minhash_dedup")
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
