@@ -22,8 +22,11 @@ from tidemark.session import settle
 
 PERMUTATIONS, ROWS = 64, 4  # 32 bands of 4 values: a pair at 0.75 is missed with probability 5e-6
 BANDS = 2 * PERMUTATIONS // ROWS
-# Of 128 values a pair at 0.75 differs in 24 two-bit digests, give or take 4.4.
-MOST_DIFFERENT = 52
+# Of 128 values a pair at 0.75 differs in 24 two-bit digests, give or take 4.4: five of these more are allowed.
+MOST_DIFFERENT = 47
+# Every shingle sets one bit of a map; a bit that only one text has stands for a shingle that the other lacks.
+MAP = 1024
+SKETCH = 4 + MAP // 64
 _FACTOR = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _SHIFT = mix(np.arange(1001, PERMUTATIONS + 1001, dtype=np.uint64))
 SIGNED = "doc_id long, n long, h1 long, h2 long, sketch array<long>, bands array<long>"
@@ -45,7 +48,8 @@ def _bits(bits: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, text -> SIGNED; h1 and h2 tell sets apart, the sketch holds two bits of every signature value."""
+    """doc_id, text -> SIGNED; h1 and h2 tell sets apart, the sketch holds two bits of every signature value,
+    then the map of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,7 +60,7 @@ def sign(docs: DataFrame) -> DataFrame:
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 full = np.flatnonzero(n)
                 h1, h2 = np.zeros(len(n), dtype=np.uint64), np.zeros(len(n), dtype=np.uint64)
-                sketch, bands = np.zeros((len(n), 4), dtype=np.int64), np.zeros((len(n), BANDS), dtype=np.int64)
+                sketch, bands = np.zeros((len(n), SKETCH), dtype=np.int64), np.zeros((len(n), BANDS), dtype=np.int64)
                 if len(full):
                     own = np.concatenate([sets[i] for i in full])
                     first = np.append(0, np.cumsum(n[full]))[:-1]
@@ -64,7 +68,10 @@ def sign(docs: DataFrame) -> DataFrame:
                     h2[full] = np.add.reduceat(mix(own ^ np.uint64(0x5851F42D4C957F2D)), first)
                     signature = min_max_signatures(own, n[full])
                     digest = mix(signature)
-                    sketch[full] = np.hstack([_bits((digest & np.uint64(1)).astype(np.uint8)), _bits((digest >> np.uint64(1) & np.uint64(1)).astype(np.uint8))])
+                    seen = np.zeros((len(full), MAP), dtype=np.uint8)
+                    seen[np.repeat(np.arange(len(full)), n[full]), (own >> np.uint64(20)) % np.uint64(MAP)] = 1
+                    low, high = digest & np.uint64(1), digest >> np.uint64(1) & np.uint64(1)
+                    sketch[full] = np.hstack([_bits(low.astype(np.uint8)), _bits(high.astype(np.uint8)), _bits(seen)])
                     grouped = signature.reshape(len(full), BANDS, ROWS)
                     total = np.arange(BANDS, dtype=np.uint64)[None, :].repeat(len(full), axis=0)
                     for k in range(ROWS):
@@ -78,7 +85,7 @@ def sign(docs: DataFrame) -> DataFrame:
                         pa.array(n),
                         pa.array(h1.view(np.int64)),
                         pa.array(h2.view(np.int64)),
-                        pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * 4, sketch.ravel()),
+                        pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * SKETCH, sketch.ravel()),
                         pa.ListArray.from_arrays(held, bands[full].ravel()),
                     ],
                     ["doc_id", "n", "h1", "h2", "sketch", "bands"],
@@ -88,10 +95,18 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def alike(a: Column, b: Column) -> Column:
-    """Sizes allow 0.75, and so do the sketches."""
+    """Sizes, signature digests and shingle maps allow 0.75; the sizes and maps are sure."""
     x, y = a["sketch"], b["sketch"]
-    differ = F.bit_count(x[0].bitwiseXOR(y[0]).bitwiseOR(x[2].bitwiseXOR(y[2]))) + F.bit_count(x[1].bitwiseXOR(y[1]).bitwiseOR(x[3].bitwiseXOR(y[3])))
-    return (a["n"] * 100 >= b["n"] * 75) & (b["n"] * 100 >= a["n"] * 75) & (differ <= MOST_DIFFERENT)
+    differ = sum(F.bit_count(x[i].bitwiseXOR(y[i]).bitwiseOR(x[i + 2].bitwiseXOR(y[i + 2]))) for i in range(2))
+    lacks = [sum(F.bit_count(u[i].bitwiseAND(F.bitwise_not(v[i]))) for i in range(4, SKETCH)) for u, v in ((x, y), (y, x))]
+    shared = F.least(a["n"] - lacks[0], b["n"] - lacks[1])
+    sizes = (a["n"] * 100 >= b["n"] * 75) & (b["n"] * 100 >= a["n"] * 75)
+    return sizes & (differ <= MOST_DIFFERENT) & (shared * 175 >= (a["n"] + b["n"]) * 75)
+
+
+def first_common(a: Column, b: Column) -> Column:
+    """The bucket of the first band in which two texts meet."""
+    return F.get(F.filter(F.zip_with(a, b, lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), F.lit(0))
 
 
 def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -155,10 +170,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .repartition("bucket")
     )
     split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    open_ = settle(placed.join(split, "bucket", "left_semi").join(side, "rep"), "open")
+    open_ = settle(placed.join(split, "bucket", "left_semi").join(classes.select("rep", F.struct("n", "sketch").alias("x"), "bands"), "rep"), "open")
     left, right = open_.alias("l"), open_.alias("r")
     crossing = (
-        left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.component") < F.col("r.component")) & alike(F.col("l.x"), F.col("r.x")))
+        left.join(right, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.component") < F.col("r.component")) & alike(F.col("l.x"), F.col("r.x")) & (F.col("l.bucket") == first_common(F.col("l.bands"), F.col("r.bands"))))
         .select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b"))
         .distinct()
         .join(first, ["a", "b"], "left_anti")
