@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, langid, licenses, minhash, mixing, quality, secret_scan
+from tidemark.llm import chat_format, decontaminate, langid, licenses, minhash, mixing, quality, secret_scan, suffix_dedup
 from tidemark.llm.common import table
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -225,3 +225,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_minhash_dedup")
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# Op 3 -------------------------------------------------------------------------------------------------------
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
