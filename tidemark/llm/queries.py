@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, langid, licenses, minhash, mixing, quality, secret_scan, suffix_dedup
+from tidemark.llm import chat_format, decontaminate, langid, licenses, minhash, mixing, quality, secret_scan, suffix_dedup, vector_dedup
 from tidemark.llm.common import table
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -233,3 +233,36 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+# Op 5 -------------------------------------------------------------------------------------------------------
+
+
+@query(
+    "op5_vector_dedup",
+    """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS id, vec_id AS r FROM embeddings UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.r
+), part AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN part ON id = vec_id LEFT JOIN counts ON a = vec_id""",
+)
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# The pipeline -------------------------------------------------------------------------------------------------
+
+import corpus_pipeline  # noqa: E402
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
