@@ -22,7 +22,7 @@ from tidemark.session import settle
 
 LEAST, GRAM = 100, 36
 SPAN = LEAST - GRAM + 1  # anchors to choose from in a window
-RUN = 20_000  # segments that are sorted in memory at once
+RUN = 5_000  # segments that are sorted in memory at once
 LAST = 2**63 - 1  # stands for a null id: after all others
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -77,49 +77,57 @@ def common_prefix(h: np.ndarray, inverse: np.ndarray, a: np.ndarray, b: np.ndarr
     return low
 
 
-def suffix_order(data: np.ndarray, at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(data: np.ndarray, h: np.ndarray, inverse: np.ndarray, at: np.ndarray, whole: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the windows at `at` by group and content, ties as they come, and which equal the one before.
 
-    A bottom-up merge sort over all windows together: each element looks up its place in the sibling run.
+    `group` doesn't fall and `whole` has the windows' hashes. A bottom-up merge sort over all groups at once: where two
+    runs meet within a group, each element of the group looks up its place in the sibling run.
     """
-    h, inverse = prefix_hashes(data), powers(_INVERSE, len(data) + 1)
     n = len(at)
-
-    def before(x: np.ndarray, y: np.ndarray, ties: bool) -> np.ndarray:
-        """Whether window x comes before y; `ties`: also if they are equal."""
-        other = group[x] != group[y]
-        lcp = common_prefix(h, inverse, at[x], at[y])
-        last = np.minimum(lcp, LEAST - 1)
-        less = data[at[x] + last] < data[at[y] + last]
-        return np.where(other, group[x] < group[y], np.where(lcp == LEAST, ties, less))
-
-    order, width, ranks = np.arange(n), 1, np.arange(n)
+    ranks = np.arange(n)
+    heads = np.append(True, group[1:] != group[:-1]) if n else np.zeros(0, dtype=bool)
+    begin = np.flatnonzero(heads)[np.cumsum(heads) - 1] if n else ranks
+    end = np.append(np.flatnonzero(heads)[1:], n)[np.cumsum(heads) - 1] if n else ranks
+
+    def before(x: np.ndarray, y: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """Whether window x comes before y; where `ties`, also if they are equal."""
+        out = ties.copy()
+        other = np.flatnonzero(whole[x] != whole[y])
+        x, y = at[x[other]], at[y[other]]
+        last = np.minimum(common_prefix(h, inverse, x, y), LEAST - 1)
+        out[other] = data[x + last] < data[y + last]
+        return out
+
+    order, width = ranks.copy(), 1
     while width < n:
-        run = ranks // width
-        sibling = (run ^ 1) * width
-        low, high = np.minimum(sibling, n), np.minimum(sibling + width, n)
-        left = run % 2 == 0
-        start = low.copy()
-        while (open_ := np.flatnonzero(low < high)).size:
-            middle = (low[open_] + high[open_]) // 2
+        middle = np.arange(width, n, 2 * width)
+        middle = middle[group[middle - 1] == group[middle]]
+        width *= 2
+        if not len(middle):
+            continue
+        first, stop = np.maximum(middle - width // 2, begin[middle]), np.minimum(middle + width // 2, end[middle])
+        size = stop - first
+        pair = np.repeat(np.arange(len(middle)), size)
+        rank = np.arange(len(pair)) - np.repeat(np.append(0, np.cumsum(size))[:-1], size) + first[pair]
+        left = rank < middle[pair]
+        low, high = np.where(left, middle[pair], first[pair]), np.where(left, stop[pair], middle[pair])
+        todo = np.arange(len(rank))
+        while len(todo):
+            half = (low[todo] + high[todo]) // 2
             # A left element follows smaller right ones; a right one also follows equal left ones.
-            follows = np.where(
-                left[open_], before(order[middle], order[open_], False), before(order[middle], order[open_], True)
-            )
-            low[open_] = np.where(follows, middle + 1, low[open_])
-            high[open_] = np.where(follows, high[open_], middle)
-        place = np.where(left, ranks, ranks - width) + low - start
-        merged = np.empty_like(order)
-        merged[place] = order
-        order, width = merged, width * 2
+            follows = before(order[half], order[rank[todo]], ~left[todo])
+            low[todo] = np.where(follows, half + 1, low[todo])
+            high[todo] = np.where(follows, high[todo], half)
+            todo = todo[low[todo] < high[todo]]
+        place = np.where(left, rank, rank - middle[pair]) + low - np.where(left, middle[pair], 0)
+        moved = order[rank]
+        order[place] = moved
     equal = np.zeros(n, dtype=bool)
     if n > 1:
-        x, y = order[:-1], order[1:]
-        equal[1:] = (group[x] == group[y]) & (common_prefix(h, inverse, at[x], at[y]) == LEAST)
+        equal[1:] = ~heads[1:] & (whole[order[:-1]] == whole[order[1:]])
         # Equal hashes aren't equal bytes yet.
-        hit = np.flatnonzero(equal)
-        for part in np.array_split(hit, len(hit) // 50_000 + 1):
-            step = np.arange(LEAST)
+        hit, step = np.flatnonzero(equal), np.arange(LEAST)
+        for part in np.array_split(hit, len(hit) // 10_000 + 1):
             equal[part] = (data[at[order[part - 1]][:, None] + step] == data[at[order[part]][:, None] + step]).all(axis=1)
     return order, equal
 
@@ -226,11 +234,9 @@ def compare_windows(pieces: DataFrame) -> DataFrame:
         # Windows whose hash stands alone in the run repeat nothing in it.
         _, back, count = np.unique(window, return_inverse=True, return_counts=True)
         likely = np.flatnonzero(count[back] > 1)
-        # Rows come by document and place, so ties in the sort keep the earliest window first.
-        earliest = np.lexsort((lo[owner[likely]] + step[likely], doc[owner[likely]]))
-        likely = likely[earliest]
-        _, group = np.unique(anchor[owner[likely]], return_inverse=True)
-        order, equal = suffix_order(data, at[likely], group)
+        # By anchor, document and place, so that ties in the sort keep the earliest window first.
+        likely = likely[np.lexsort((lo[owner[likely]] + step[likely], doc[owner[likely]], anchor[owner[likely]]))]
+        order, equal = suffix_order(data, h, inverse, at[likely], window[likely], anchor[owner[likely]])
         repeated = np.zeros(len(owner), dtype=bool)
         repeated[likely[order[equal]]] = True
         hit = np.flatnonzero(repeated)
