@@ -33,14 +33,15 @@ def match_windows(
 ) -> DataFrame:
     """doc_id, n_words, hits (array of the start among the tokens, the length and the window): one row per row of `docs`.
 
-    The windows are joined, not broadcast by hand: the planner sends them to all tasks while they are small.
+    Lists of words are stored first: the planner knows their size then, and sends them to all tasks while they
+    are small instead of moving every word of every document.
     """
     distinct = windows.select("words").distinct()
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text")).withColumn(
         "key", F.struct("doc_id", F.xxhash64("text").alias("hash"))
     )
     spread = rows.select("key", F.posexplode(words_of("text")).alias("at", "word"))
-    vocabulary = distinct.select(F.explode("words").alias("word")).distinct()
+    vocabulary = settle(distinct.select(F.explode("words").alias("word")).distinct().coalesce(1), "vocabulary")
     counts = rows.select(F.explode(words_of("text")).alias("word")).join(vocabulary, "word").groupBy("word").count()
     # A window with a word that no document has can't occur and falls out here.
     offered = distinct.withColumn("window", F.array_join("words", " ")).select("window", F.size("words").alias("len"), F.posexplode("words").alias("offset", "word"))
@@ -52,8 +53,10 @@ def match_windows(
         .select("window", "len", F.col("rarest.word").alias("word"), F.col("rarest.offset").alias("offset")),
         "prefixes",
     )
+    looked_up = settle(prefixes.select("word").distinct().coalesce(1), "vocabulary")
     places = (
-        spread.join(prefixes, "word")
+        spread.join(looked_up, "word", "left_semi")
+        .join(prefixes, "word")
         .where(F.col("at") >= F.col("offset"))
         .groupBy("key")
         .agg(F.collect_list(F.struct((F.col("at") - F.col("offset") + 1).alias("start"), "len", "window")).alias("places"))

@@ -17,10 +17,9 @@ from tidemark.session import settle
 CYCLE = (3, 1, 2)
 
 
-def letter_share(text: str = "text") -> Column:
-    """Quality weight of a document: its share of letters, 0.05 at least."""
-    letters = F.length(F.regexp_replace(text, r"[^A-Za-z\x{C0}-\x{24F}]+", ""))
-    return F.greatest(F.lit(0.05), F.coalesce(letters / F.length(text), F.lit(0.05)))
+def word_length_weight(chars: Column, words: Column) -> Column:
+    """Quality weight: 1 for six characters a word, gaps included, falling to 0.05 at none and at twelve."""
+    return F.greatest(F.lit(0.05), F.coalesce(1 - F.abs(chars / F.nullif(words, F.lit(0)) - 6) / 6, F.lit(0.05)))
 
 
 def source_targets(sizes: DataFrame, budget: float = 1.5, most: float = 2.0, cycle: tuple[int, ...] = CYCLE) -> DataFrame:
@@ -77,12 +76,13 @@ def mix_documents(
     """
     hexed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
     u = (F.conv(F.substring(hexed, 1, 12), 16, 10).cast("double") + 1) / float(2**48 + 1)
+    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     rows = settle(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             F.col(source).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            (-F.log(u) / (letter_share(text) if quality is None else quality)).alias("key"),
+            size.alias("size"),
+            (-F.log(u) / (word_length_weight(F.length(text), size) if quality is None else quality)).alias("key"),
         )
         # A fixed increasing function of the key: most cells hold about as many rows.
         .withColumn("cell", F.floor((1 - F.exp(-F.col("key"))) * cells).cast("int")),

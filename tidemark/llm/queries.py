@@ -73,11 +73,13 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op4_mix_sources",
     r"""
-WITH rows AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+WITH sized AS (
+  SELECT *, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), rows AS (
+  SELECT doc_id, source, size,
     -ln((CAST('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12) AS BIGINT)::DOUBLE + 1) / 281474976710657.0::DOUBLE)
-      / greatest(0.05::DOUBLE, coalesce(length(regexp_replace(text, '[^A-Za-z\x{C0}-\x{24F}]+', '', 'g'))::DOUBLE / nullif(length(text), 0), 0.05)) AS key
-  FROM documents
+      / greatest(0.05::DOUBLE, coalesce(1 - abs(length(text)::DOUBLE / nullif(size, 0) - 6) / 6, 0.05::DOUBLE)) AS key
+  FROM sized
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
     [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
