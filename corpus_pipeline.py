@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, minhash, mixing, quality, secret_scan
-from tidemark.llm.common import table
+from tidemark.llm.common import fresh, table
 from tidemark.llm.langid import held_out
 from tidemark.session import settle
 
@@ -27,8 +27,9 @@ def without(docs: DataFrame, flags: DataFrame, flag: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     known = docs.select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out"))
-    scored = quality.score(docs, quality.fit(known, labels), name="_quality")
-    return scored.where("_quality >= 0.5").drop("_quality")
+    name = fresh(docs, "_quality")
+    scored = quality.score(docs, quality.fit(known, labels), name=name)
+    return scored.where(F.col(name) >= 0.5).drop(name)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +46,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masked texts; n_chars follows the text where it did before."""
-    clean = secret_scan.redact(docs.withColumn("_before", F.length("text")))
-    length = F.when(F.col("n_chars") == F.col("_before"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", length).drop("_before")
+    before = fresh(docs, "_before")
+    clean = secret_scan.redact(docs.withColumn(before, F.length("text")))
+    length = F.when(F.col("n_chars") == F.col(before), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", length).drop(before)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,13 @@ def text_or_empty(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def digest(text: Column) -> Column:
     return F.sha2(text, 256)
 

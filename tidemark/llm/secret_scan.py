@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import digest, text_or_empty
+from tidemark.llm.common import digest, fresh, text_or_empty
 from tidemark.session import settle
 
 SPANS = "array<struct<start:long,rank:int,stop:long,kind:string>>"
@@ -147,7 +147,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", path: str = "doc_id", text:
     findings, _ = scan_versions(docs, path=path, text=text)
     # By blob, so that rows that share an id keep their own text.
     spans = findings.where(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
-    blob = digest(text_or_empty(text))
+    by, own = fresh(docs, "_blob"), fresh(docs, "_spans")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(acc, s):
@@ -159,7 +159,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", path: str = "doc_id", text:
         )
 
     clean = F.aggregate(
-        "_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(f"`{text}`"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
+        F.col(own), start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(f"`{text}`"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
     )
-    kept = docs.withColumn("_blob", blob).join(spans.select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "_blob", "left")
-    return kept.withColumn(text, F.when(F.col("_spans").isNotNull(), clean).otherwise(F.col(f"`{text}`"))).select(*[f"`{c}`" for c in docs.columns])
+    kept = docs.withColumn(by, digest(text_or_empty(text))).join(spans.toDF(by, own), by, "left")
+    return kept.withColumn(text, F.when(F.col(own).isNotNull(), clean).otherwise(F.col(f"`{text}`"))).select(*[f"`{c}`" for c in docs.columns])
