@@ -44,7 +44,7 @@ def _drain(query) -> None:
     assert query.exception() is None
 
 
-def test_streams(spark, sf_dir):
+def test_streams(spark, sf_dir, tmp_path):
     raw = tickets(spark, sf_dir)
     source = work_folder(spark, "incoming")
     raw.repartition(3).write.parquet(source)
@@ -52,13 +52,13 @@ def test_streams(spark, sf_dir):
     incoming = stream.read_tickets(spark, source, raw.schema)
     bronze = work_folder(spark, "bronze")
     rows = stream.bronze_stream(incoming, contracts.TICKET_CONTRACT, lateness="60 days")
-    _drain(stream.start_append(rows, bronze).trigger(availableNow=True).start())
+    _drain(stream.start_append(rows, bronze, str(tmp_path / "mark-bronze")).trigger(availableNow=True).start())
     got = spark.read.parquet(bronze)
     assert got.count() == got.select("numero").distinct().count() == raw.count()
 
     volume = work_folder(spark, "volume")
     counts = stream.volume_stream(incoming, lateness="1 day")
-    _drain(stream.start_append(counts, volume).trigger(availableNow=True).start())
+    _drain(stream.start_append(counts, volume, str(tmp_path / "mark-volume")).trigger(availableNow=True).start())
     closed = {str(r["inicio"])[:10]: r["total"] for r in spark.read.parquet(volume).collect()}
     days = incoming_days(spark, source)
     assert closed and all(days[d] == n for d, n in closed.items())

@@ -30,7 +30,7 @@ def prior_count(
     ties: str = "sequence",
     cuts: Cuts | None = None,
 ) -> DataFrame:
-    """Earlier rows of the same key; null where the key is null.
+    """Earlier rows of the same key; null where the key is null. Rows without a time come last.
 
     ``ties='sequence'`` counts rows of the same instant with a smaller tie-break as earlier,
     ``ties='strict'`` counts only rows of an earlier instant.
@@ -44,7 +44,9 @@ def prior_count(
         before = add_prior(
             instants, [key], [time], sums={out: F.col("_n")}, cuts=Cuts(first=cuts.first)
         )
-        done = keyed.join(before.drop("_n"), [key, time], "left").select(*df.columns, out)
+        before = before.select(F.col(key).alias("_k"), F.col(time).alias("_at"), out)
+        same = (F.col(key) == F.col("_k")) & F.col(time).eqNullSafe(F.col("_at"))
+        done = keyed.join(before, same, "left").select(*df.columns, out)
     else:
         raise ValueError(f"ties must be 'sequence' or 'strict', not {ties!r}")
     return _plus_null_keys(done, df, key, out, F.lit(None).cast("bigint"))
@@ -107,13 +109,13 @@ def rolling_prior_count(
     window_micros: int = MICROS_PER_HOUR,
     cuts: Cuts | None = None,
 ) -> DataFrame:
-    """Rows of the key in ``[t - window, t)``; 0 where the key is null.
+    """Rows of the key in ``[t - window, t)``; 0 where the key or the time is null.
 
     The count is the difference of two running counts, one read at ``t`` and one at ``t - window``.
     Instants are counted first, so neither a busy key nor a busy instant reaches one task whole.
     """
     keyed = df.where(F.col(key).isNotNull())
-    instants = keyed.groupBy(key, epoch_micros(time).alias("_t")).agg(
+    instants = keyed.where(F.col(time).isNotNull()).groupBy(key, epoch_micros(time).alias("_t")).agg(
         F.count(F.lit(1)).alias("_n")
     )
     # At one instant the look-back row sorts first: both reads are of strictly earlier rows.
@@ -147,7 +149,7 @@ def rolling_prior_count(
     done = (
         keyed.withColumn("_t", epoch_micros(time))
         .join(load, [key, "_t"], "left")
-        .select(*df.columns, out)
+        .select(*df.columns, F.coalesce(out, F.lit(0).cast("bigint")).alias(out))
     )
     return _plus_null_keys(done, df, key, out, F.lit(0).cast("bigint"))
 

@@ -10,6 +10,7 @@ cut again by the tie-breaking column.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -28,10 +29,15 @@ class Cuts:
     first: tuple[float, ...] = ()
     hot: tuple[float, ...] = ()
     second: tuple[float, ...] = ()
+    skip: int = 0  # leading bytes that all texts of the second column share
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
+def _as_number(df: DataFrame, name: str, skip: int = 0) -> Column:
+    """A number that never falls along the column; of a text the six bytes behind the first ``skip``."""
     kind = dict(df.dtypes)[name]
+    if kind == "string":
+        lead = F.substring(F.col(name).cast("binary"), skip + 1, 6)
+        return F.conv(F.rpad(F.hex(lead), 12, "0"), 16, 10).cast("double")
     if kind == "timestamp_ntz" or kind == "timestamp":
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
     if kind == "date":
@@ -44,8 +50,8 @@ def find_cuts(df: DataFrame, order: list[str], parts: int | None = None) -> Cuts
     parts = parts or parallel_parts(df.sparkSession)
     probs = [i / parts for i in range(1, parts)]
 
-    def sketch(frame: DataFrame, name: str) -> list[float]:
-        found = frame.select(_as_number(frame, name).alias("_x")).approxQuantile(
+    def sketch(frame: DataFrame, name: str, skip: int = 0) -> list[float]:
+        found = frame.select(_as_number(frame, name, skip).alias("_x")).approxQuantile(
             "_x", probs, 1.0 / (2 * parts)
         )
         return sorted(v for v in found if v == v and abs(v) != _EDGE)
@@ -53,10 +59,14 @@ def find_cuts(df: DataFrame, order: list[str], parts: int | None = None) -> Cuts
     first = sketch(df, order[0])
     hot = tuple(sorted({a for a, b in zip(first, first[1:]) if a == b}))
     second: tuple[float, ...] = ()
+    skip = 0
     if hot and len(order) > 1:
         inside = df.where(_as_number(df, order[0]).isin(*hot))
-        second = tuple(sorted(set(sketch(inside, order[1]))))
-    return Cuts(tuple(sorted(set(first))), hot, second)
+        if dict(df.dtypes)[order[1]] == "string":
+            ends = inside.agg(F.min(order[1]), F.max(order[1])).first()
+            skip = len(os.path.commonprefix([(e or "").encode() for e in ends]))
+        second = tuple(sorted(set(sketch(inside, order[1], skip))))
+    return Cuts(tuple(sorted(set(first))), hot, second, skip)
 
 
 def _bucket(df: DataFrame, value: Column, cuts: tuple[float, ...], out: str) -> DataFrame:
@@ -67,7 +77,8 @@ def _bucket(df: DataFrame, value: Column, cuts: tuple[float, ...], out: str) ->
     frame = Bucketizer(
         splits=[-_EDGE, *cuts, _EDGE], inputCol=raw, outputCol=out, handleInvalid="keep"
     ).transform(frame)
-    return frame.withColumn(out, F.col(out).cast("bigint")).drop(raw)
+    # Null and NaN come last, in a segment of their own.
+    return frame.withColumn(out, F.coalesce(F.col(out).cast("bigint"), F.lit(len(cuts) + 1).cast("bigint"))).drop(raw)
 
 
 def add_segment(df: DataFrame, order: list[str], cuts: Cuts, out: str = "_seg") -> DataFrame:
@@ -75,10 +86,12 @@ def add_segment(df: DataFrame, order: list[str], cuts: Cuts, out: str = "_seg")
     frame = _bucket(df, _as_number(df, order[0]), cuts.first, out)
     if not cuts.second:
         return frame
-    frame = _bucket(frame, _as_number(df, order[1]), cuts.second, "_sub")
+    frame = _bucket(frame, _as_number(df, order[1], cuts.skip), cuts.second, "_sub")
     width = len(cuts.second) + 2
     # An over-full value is the left edge of its bucket: its pieces come first, the rest after them.
-    piece = F.when(_as_number(df, order[0]).isin(*cuts.hot), F.col("_sub")).otherwise(width - 1)
+    # Rows without an order value are cut by the second column as well.
+    split = _as_number(df, order[0]).isin(*cuts.hot) | F.col(order[0]).isNull()
+    piece = F.when(F.coalesce(split, F.lit(False)), F.col("_sub")).otherwise(width - 1)
     return frame.withColumn(out, F.col(out) * width + piece).drop("_sub")
 
 
@@ -94,8 +107,7 @@ def add_prior(
     """Add, per row, sums (0 at the start) and maxima (null at the start) over the rows before it.
 
     ``wholes`` maps further columns to names in ``sums`` whose total over the whole key they hold; the
-    totals per segment are at hand, so this takes no further shuffle.  ``keys`` must not be null.  ``order`` must be a total order inside a key, first column numeric or
-    temporal.
+    totals per segment are at hand, so this takes no further shuffle.  ``keys`` must not be null.  ``order`` must be a total order inside a key; null and NaN come last.
     """
     sums, maxima, wholes = sums or {}, maxima or {}, wholes or {}
     cuts = cuts or find_cuts(df, order)
@@ -117,7 +129,7 @@ def add_prior(
         *[F.max(f"_t_{n}").over(over_segments).alias(f"_o_{n}") for n in maxima],
         *[F.sum(f"_t_{of}").over(Window.partitionBy(*keys)).alias(n) for n, of in wholes.items()],
     )
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_last() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.select(
         *df.columns,
         "_seg",

@@ -44,9 +44,12 @@ def in_year(time: str, year: int) -> Column:
 def first_per_key(df: DataFrame, *, keys: list[str], seq: str) -> DataFrame:
     """The first row of each key by ``seq``; null keys count as one key.
 
+    Rows with equal ``seq`` are ordered by a hash of the whole row, so that neither the order of the files nor a
+    task that runs again changes the survivor.
+
     The rank filter is applied before the shuffle too, so a repeated key sends one row per task.
     """
-    w = Window.partitionBy(*keys).orderBy(seq)
+    w = Window.partitionBy(*keys).orderBy(F.col(seq).asc_nulls_last(), F.xxhash64(*[f"`{c}`" for c in df.columns]))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
@@ -118,8 +121,8 @@ def silver_columns(clean: DataFrame, cap: Column) -> DataFrame:
     )
 
 
-def silver(df: DataFrame, *, year: int, seq: str = "numero") -> DataFrame:
-    """One row per ticket of one year, with flags, capped duration, clean text and coverage."""
+def silver(df: DataFrame, *, year: int, seq: str = "aberto") -> DataFrame:
+    """One row per ticket of one year (its earliest), with flags, capped duration, clean text and coverage."""
     clean = first_per_key(df.where(in_year("aberto", year)), keys=["numero"], seq=seq)
     return silver_columns(clean, upper_cap(clean, "duracao").scalar())
 

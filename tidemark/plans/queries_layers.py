@@ -19,13 +19,13 @@ MIN_GROUP = 500
 
 
 def _sql_sha(columns: list[str]) -> str:
-    cells = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in columns)
-    return f"sha256(concat_ws('#', {cells}))"
+    cells = ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"sha256(concat({cells}))"
 
 
 def _sql_fingerprint(hashes: str) -> str:
     words = ", ".join(
-        f"bit_xor(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS BIGINT)) AS w{i}" for i in range(4)
+        f"coalesce(sum(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS BIGINT)), 0)::VARCHAR AS w{i}" for i in range(4)
     )
     return f"""SELECT n, sha256(concat_ws('-', n, w0, w1, w2, w3)) AS fingerprint
         FROM (SELECT count(*) AS n, {words} FROM ({hashes}))"""

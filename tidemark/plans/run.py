@@ -62,11 +62,13 @@ def build_layers(
     audit = contracts.RowAudit()
     watched = audit.watch(stored, "bronze")
     in_year = audit.watch(watched.where(medallion.in_year("aberto", year)), "ano")
-    first = medallion.first_per_key(in_year, keys=["numero"], seq="numero")
+    first = medallion.first_per_key(in_year, keys=["numero"], seq="aberto")
     single = audit.watch(first, "primeiro_por_numero")
     # The cap is taken over the same single rows, from a branch that counts nothing.
+    days = F.col("dia").between(F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year}-12-31").cast("date"))
+    pruned = layers.read_layer(spark, paths["bronze"]).where(days).select(*stored.columns)
     unwatched = medallion.first_per_key(
-        stored.where(medallion.in_year("aberto", year)), keys=["numero"], seq="numero"
+        pruned.where(medallion.in_year("aberto", year)), keys=["numero"], seq="aberto"
     )
     cap = medallion.upper_cap(unwatched, "duracao")
     rows["silver"] = layers.write_layer(

@@ -37,19 +37,21 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder named by spark.checkpoint.dir.
 
-    Only a session that names none (tests) gets a local folder.
+    Only a local session that names none (tests) gets a local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = _LOCAL.setdefault("root", tempfile.mkdtemp(prefix="tidemark-"))
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def parallel_parts(spark: SparkSession, floor: int = 8, ceiling: int = 1024) -> int:
-    """Into how many range pieces an ordered operator cuts its input."""
-    return max(floor, min(ceiling, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def parallel_parts(spark: SparkSession, floor: int = 8) -> int:
+    """Into how many range pieces an ordered operator cuts its input: as many as a shuffle has."""
+    return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:

@@ -15,22 +15,26 @@ _WORD_HEX = 15
 
 
 def row_sha(columns: list[str]) -> Column:
-    """SHA-256 of the row's columns as text; a null and an empty text differ."""
+    """SHA-256 of the row's columns as text, each behind its length, so that no two rows read the same."""
+    cells = [F.col(c).cast("string") for c in columns]
     return F.sha2(
-        F.concat_ws("#", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]), 256
+        F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells]), 256
     )
 
 
 def _fingerprint(hashes: DataFrame, sha: str) -> DataFrame:
-    """One hash for a set of hashes, whatever their order, in constant memory per task."""
+    """One hash for a bag of hashes, whatever their order, in constant memory per task.
+
+    Words are summed, so rows that repeat count as often as they occur.
+    """
     words = [
-        F.bit_xor(
-            F.conv(F.substring(sha, 1 + i * _WORD_HEX, _WORD_HEX), 16, 10).cast("bigint")
-        ).alias(f"_w{i}")
+        F.sum(
+            F.conv(F.substring(sha, 1 + i * _WORD_HEX, _WORD_HEX), 16, 10).cast("decimal(19,0)").cast("decimal(28,0)")
+        ).cast("string").alias(f"_w{i}")
         for i in range(_WORDS)
     ]
     folded = hashes.agg(F.count(F.lit(1)).alias("n"), *words)
-    text = F.concat_ws("-", "n", *[F.coalesce(F.col(f"_w{i}"), F.lit(0)) for i in range(_WORDS)])
+    text = F.concat_ws("-", "n", *[F.coalesce(F.col(f"_w{i}"), F.lit("0")) for i in range(_WORDS)])
     return folded.select("n", F.sha2(text.cast("string"), 256).alias("fingerprint"))
 
 

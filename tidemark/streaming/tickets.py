@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from tidemark.session import work_folder
 from tidemark.sources.contracts import require_columns
 from tidemark.sources.layers import with_metadata
 
@@ -53,12 +52,12 @@ def score_batches(
     return write
 
 
-def start_append(stream: DataFrame, path: str, **options: str) -> DataStreamWriter:
-    """A Parquet sink in append mode with its checkpoint in the shared work folder."""
+def start_append(stream: DataFrame, path: str, checkpoint: str, **options: str) -> DataStreamWriter:
+    """A Parquet sink in append mode; started again with the same ``checkpoint`` it goes on where it stopped."""
     return (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
-        .option("checkpointLocation", work_folder(stream.sparkSession, "stream"))
+        .option("checkpointLocation", checkpoint)
         .options(**options)
     )
