@@ -82,15 +82,17 @@ class ChatTemplate:
         n = F.floor(F.size(marks) / 3).cast("int")
         turn = F.array(F.lit(self.opens), F.lit(self.body), F.lit(self.closes))
         gaps = F.concat(F.array(F.lit("")), F.array_repeat(F.lit(self.after), n))
-        index = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
-        def at(i: Column, k: int) -> Column:
-            return self.unescape(F.get(pieces, i * 3 + k))
+        def every_third(k: int) -> Column:
+            return F.filter(pieces, lambda _, i: i % 3 == k)
 
-        whole = (marks == F.flatten(F.array_repeat(turn, n))) & (
-            F.transform(F.concat(index, F.array(n)), lambda i: F.get(pieces, i * 3)) == gaps
+        whole = (marks == F.flatten(F.array_repeat(turn, n))) & (every_third(0) == gaps)
+        turns = F.zip_with(
+            every_third(1),
+            every_third(2),
+            lambda role, text: F.struct(self.unescape(role).alias("role"), self.unescape(text).alias("text")),
         )
-        return F.when(whole, F.transform(index, lambda i: F.struct(at(i, 1).alias("role"), at(i, 2).alias("text"))))
+        return F.when(whole, turns)
 
 
 def format_conversations(
