@@ -18,18 +18,42 @@ class Fold:
     test_end: date
 
 
+def _offsets(fold: int, min_train_weeks: int, test_weeks: int) -> tuple[int, int]:
+    """Days from the first day to the first test day of a fold (counted from 1), and behind its last one."""
+    split = 7 * (min_train_weeks + (fold - 1) * test_weeks)
+    return split, split + 7 * test_weeks
+
+
 def expanding_folds(
     start: date | str, min_train_weeks: int = 30, test_weeks: int = 7, n_folds: int = 3
 ) -> list[Fold]:
     """Training always begins at ``start`` and grows by one test span per fold."""
     first = date.fromisoformat(start) if isinstance(start, str) else start
-    folds = []
-    for i in range(n_folds):
-        train_end = first + timedelta(weeks=min_train_weeks + i * test_weeks, days=-1)
-        test_start = train_end + timedelta(days=1)
-        test_end = test_start + timedelta(weeks=test_weeks, days=-1)
-        folds.append(Fold(i + 1, first, train_end, test_start, test_end))
-    return folds
+
+    def fold(number: int) -> Fold:
+        split, behind = (first + timedelta(days=d) for d in _offsets(number, min_train_weeks, test_weeks))
+        return Fold(number, first, split - timedelta(days=1), split, behind - timedelta(days=1))
+
+    return [fold(number) for number in range(1, n_folds + 1)]
+
+
+def spanning_folds(first: date, last: date, test_weeks: int = 7, n_folds: int = 3) -> list[Fold]:
+    """Folds over all of ``first`` to ``last``: the last test span ends on the last day, every fold trains from the first."""
+    span = timedelta(weeks=test_weeks)
+    ends = [last - span * (n_folds - number) for number in range(1, n_folds + 1)]
+    if ends[0] - span < first:
+        raise ValueError("the days are too few for a training part before the first test span")
+    return [
+        Fold(number, first, end - span, end - span + timedelta(days=1), end) for number, end in enumerate(ends, 1)
+    ]
+
+
+def observed_span(df: DataFrame, time: str) -> tuple[date, date]:
+    """First and last day of a time column: one row reaches the driver."""
+    span = df.agg(F.min(F.to_date(time)).alias("first"), F.max(F.to_date(time)).alias("last")).first()
+    if span["first"] is None:
+        raise ValueError("no row has a time")
+    return span["first"], span["last"]
 
 
 def folds_from_data(
@@ -42,14 +66,16 @@ def folds_from_data(
 ) -> DataFrame:
     """The fold table, starting at the first observed day."""
     start = df.agg(F.min(F.to_date(time)).alias("train_start")).where("train_start is not null")
-    rows = start.select("train_start", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))).alias("i"))
-    train_days = (F.lit(min_train_weeks) + F.col("i") * test_weeks) * 7
-    return rows.select(
-        (F.col("i") + 1).alias("fold"),
+    spans = [(n, *_offsets(n, min_train_weeks, test_weeks)) for n in range(1, n_folds + 1)]
+    offsets = F.array(
+        *[F.struct(F.lit(n).alias("fold"), F.lit(x).alias("split"), F.lit(y).alias("behind")) for n, x, y in spans]
+    )
+    return start.select("train_start", F.explode(offsets).alias("f")).select(
+        "f.fold",
         "train_start",
-        F.date_add("train_start", train_days - 1).alias("train_end"),
-        F.date_add("train_start", train_days).alias("test_start"),
-        F.date_add("train_start", train_days + test_weeks * 7 - 1).alias("test_end"),
+        F.date_add("train_start", F.col("f.split") - 1).alias("train_end"),
+        F.date_add("train_start", F.col("f.split")).alias("test_start"),
+        F.date_add("train_start", F.col("f.behind") - 1).alias("test_end"),
     )
 
 

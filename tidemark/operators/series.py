@@ -174,3 +174,25 @@ def kpss_level(df: DataFrame, *, value: str, keys: list[str], day: str, n_lags:
     return sums.select(
         *keys, "n", (F.col("_ss") / F.nullif(F.col("n") * long_run, F.lit(0.0))).alias("kpss")
     )
+
+
+# Published 5 % points of both tests with a constant and no trend.
+CRITICAL_5PCT = {"kpss": 0.463, "adf": -2.86}
+
+
+def difference_forms(df: DataFrame, *, value: str, keys: list[str], day: str) -> DataFrame:
+    """(keys, day, form, value): the level, its difference and the seasonal difference of that, without their empty heads."""
+    names = [value, "diff", "season_diff"]
+    forms = F.array(*[F.struct(F.lit(n).alias("form"), F.col(n).cast("double").alias("_v")) for n in names])
+    wide = differences(df, value=value, keys=keys, day=day)
+    return (
+        wide.select(*keys, day, F.explode(forms).alias("_f"))
+        .select(*keys, day, "_f.form", F.col("_f._v").alias(value))
+        .where(F.col(value).isNotNull())
+    )
+
+
+def against_critical(found: DataFrame, statistic: str) -> DataFrame:
+    """Add the 5 % point and whether the test's null hypothesis falls: KPSS above it, the unit root below it."""
+    limit, at = F.lit(CRITICAL_5PCT[statistic]), F.col(statistic)
+    return found.withColumns({"critical_5pct": limit, "rejected": at > limit if statistic == "kpss" else at < limit})

@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import forecast, series
-from tidemark.operators.folds import expanding_folds
-from tidemark.plans.queries_layers import _sql_folds
+from tidemark.operators.folds import Fold, observed_span, spanning_folds
 from tidemark.plans.registry import query, rounded, with_tickets
 from tidemark.session import settle
 from tidemark.sources.tables import table, tickets
 
 KEYS = ["serie"]
 HORIZON = 49
-FOLDS = expanding_folds("1995-01-01")
+TEST_WEEKS = HORIZON // 7
+
+
+def _span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    return observed_span(table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+def _folds(spark: SparkSession, sf_dir: str) -> list[Fold]:
+    """Three folds that together cover every observed day."""
+    return spanning_folds(*_span(spark, sf_dir), test_weeks=TEST_WEEKS)
+
+
+_SPAN = "sp AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders)"
+_FOLDS = f"""{_SPAN}, f AS (SELECT i AS fold, lo AS a, hi - {HORIZON} * (4 - i) AS b, hi - {HORIZON} * (4 - i) + 1 AS c,
+  hi - {HORIZON} * (3 - i) AS e FROM sp, (VALUES (1), (2), (3)) AS v(i))"""
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,11 +205,40 @@ def adf_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("adf", rounded("adf"))
 
 
+_FORMS = f"""{DAILY}, g AS (SELECT *, total - lag(total) OVER (PARTITION BY serie ORDER BY data) AS diff FROM d),
+  h AS (SELECT *, diff - lag(diff, 7) OVER (PARTITION BY serie ORDER BY data) AS season_diff FROM g),
+  fm AS (SELECT serie, data, unnest(['total', 'diff', 'season_diff']) AS form, unnest([total, diff, season_diff]) AS x FROM h)"""
+
+
+@query(
+    "kpss_forms",
+    f"""WITH {_FORMS}, e AS (SELECT serie, form, data, x - avg(x) OVER (PARTITION BY serie, form) AS x FROM fm WHERE x IS NOT NULL),
+    s AS (SELECT serie, form, sum(p * p) AS ss, count(*) AS n FROM (SELECT serie, form,
+      sum(x) OVER (PARTITION BY serie, form ORDER BY data) AS p FROM e) GROUP BY 1, 2),
+    c AS (SELECT a.serie, a.form, k, sum(a.x * b.x) AS g FROM range(0, 11) AS r(k), e AS a JOIN e AS b
+      ON a.serie = b.serie AND a.form = b.form AND b.data = a.data - CAST(k AS INTEGER) GROUP BY 1, 2, 3),
+    l AS (SELECT serie, form, sum(CASE WHEN k = 0 THEN g ELSE 2 * (1 - k / 11) * g END) AS lr FROM c GROUP BY 1, 2)
+    SELECT serie, form, n, round(ss / (n * lr), 6) AS kpss, 0.463::DOUBLE AS critical_5pct, ss / (n * lr) > 0.463 AS rejected
+    FROM s JOIN l USING (serie, form)""",
+)
+def kpss_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forms = series.difference_forms(daily(spark, sf_dir), value="total", keys=KEYS, day="data")
+    found = series.kpss_level(forms, value="total", keys=[*KEYS, "form"], day="data", n_lags=10)
+    return series.against_critical(found, "kpss").withColumn("kpss", rounded("kpss"))
+
+
+@query("adf_forms")
+def adf_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forms = series.difference_forms(daily(spark, sf_dir), value="total", keys=KEYS, day="data")
+    found = forecast.unit_root_statistic(forms, [*KEYS, "form"], "total", n_lags=7)
+    return series.against_critical(found, "adf").withColumn("adf", rounded("adf"))
+
+
 # --- backtest ------------------------------------------------------------------------------------
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    days = forecast.split_days(daily(spark, sf_dir), FOLDS)
+    days = forecast.split_days(daily(spark, sf_dir), _folds(spark, sf_dir))
     return days.where("side = 'train'"), days.where("side = 'test'")
 
 
@@ -202,10 +246,8 @@ def _baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.baseline_forecasts(_sides(spark, sf_dir)[0], KEYS, "total", HORIZON)
 
 
-_TRAIN = f"""{DAILY}, {_sql_folds(FOLDS)}, tr AS (SELECT serie, fold, data, total, b, c FROM d JOIN f ON data BETWEEN a AND b),
-te AS (SELECT serie, fold, data, total AS actual FROM d JOIN f ON data BETWEEN c AND f.d)""".replace(
-    "f(fold, a, b, c, d)", "f(fold, a, b, c, e)"
-).replace("f.d)", "f.e)")
+_TRAIN = f"""{DAILY}, {_FOLDS}, tr AS (SELECT serie, fold, data, total, b, c FROM d JOIN f ON data BETWEEN a AND b),
+te AS (SELECT serie, fold, data, total AS actual FROM d JOIN f ON data BETWEEN c AND e)"""
 _FORECASTS = f"""{_TRAIN}, bf AS (SELECT x.serie, x.fold, CAST(h AS INTEGER) AS h, CAST(x.b + CAST(h AS INTEGER) AS DATE) AS data,
     max(x.total) FILTER (x.data = x.b)::DOUBLE AS ingenuo,
     max(x.total) FILTER (x.data = x.b - 6 + CAST((h - 1) % 7 AS INTEGER))::DOUBLE AS sazonal_7,
@@ -364,13 +406,15 @@ def weekly_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ceiling_alert",
     f"""WITH {_WEEK}, k AS (SELECT o_orderpriority AS serie, CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE
-      round(count(*) / 2405 * 7 * CASE o_orderpriority WHEN '1-URGENT' THEN 0.7 WHEN '5-LOW' THEN 3.0 ELSE 1.4 END, 1)::DOUBLE END
+      round(count(*) / (SELECT hi - lo + 1 FROM sp) * 7 * CASE o_orderpriority WHEN '1-URGENT' THEN 0.7 WHEN '5-LOW' THEN 3.0 ELSE 1.4 END, 1)::DOUBLE END
       AS ceiling FROM orders GROUP BY 1)
     SELECT serie, fold, week, ceiling, round_even(100.0 * week / ceiling, 1)::DOUBLE AS use_pct,
       CASE WHEN ceiling IS NULL THEN 'SEM TETO' WHEN week / ceiling >= 1 THEN 'CRÍTICO' WHEN high / ceiling >= 1 THEN 'ATENÇÃO'
         WHEN week / ceiling >= 0.8 THEN 'ATENÇÃO' ELSE 'OK' END AS alert FROM wp LEFT JOIN k USING (serie)""",
 )
 def ceiling_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, last = _span(spark, sf_dir)
+    days = (last - first).days + 1
     factor = F.expr("CASE serie WHEN '1-URGENT' THEN 0.7D WHEN '5-LOW' THEN 3.0D ELSE 1.4D END")
     contracts = (
         table(spark, sf_dir, "orders")
@@ -378,7 +422,7 @@ def ceiling_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "serie",
-            F.when(F.col("serie") != "2-HIGH", F.round(F.col("n") / 2405 * 7 * factor, 1)).alias("ceiling"),
+            F.when(F.col("serie") != "2-HIGH", F.round(F.col("n") / days * 7 * factor, 1)).alias("ceiling"),
         )
     )
     found = forecast.ceiling_alert(_weekly(spark, sf_dir), contracts, KEYS)
@@ -387,7 +431,7 @@ def ceiling_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ar1_coeff",
-    f"""WITH {DAILY}, {_sql_folds(FOLDS).replace("c, d)", "c, e)")}, x AS (SELECT *, total - lag(total) OVER w AS y FROM d
+    f"""WITH {DAILY}, {_FOLDS}, x AS (SELECT *, total - lag(total) OVER w AS y FROM d
       WINDOW w AS (PARTITION BY serie ORDER BY data)),
     z AS (SELECT *, lag(y) OVER (PARTITION BY serie ORDER BY data) AS y1 FROM x)
     SELECT serie, fold, count(*) AS n, round(regr_slope(y, y1), 6) AS phi, round(regr_intercept(y, y1), 6) AS intercept
@@ -395,12 +439,12 @@ def ceiling_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ar1_coeff(spark: SparkSession, sf_dir: str) -> DataFrame:
     design = forecast.design_rows(daily(spark, sf_dir), KEYS, "total")
-    train = forecast.split_days(design, FOLDS).where("side = 'train'")
+    train = forecast.split_days(design, _folds(spark, sf_dir)).where("side = 'train'")
     return _rounded_all(forecast.first_order_coefficients(train, KEYS), ["phi", "intercept"])
 
 
 def _design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    design = forecast.split_days(forecast.design_rows(daily(spark, sf_dir), KEYS, "total"), FOLDS)
+    design = forecast.split_days(forecast.design_rows(daily(spark, sf_dir), KEYS, "total"), _folds(spark, sf_dir))
     return design.where("side = 'train'"), design.where("side = 'test'")
 
 
