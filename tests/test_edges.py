@@ -289,3 +289,22 @@ def test_ceiling_ladder(spark):
     contracts = spark.createDataFrame([(s, 100.0) for s in "abcd"] + [("e", None)], "serie string, ceiling double")
     got = {r["serie"]: r["alert"] for r in forecast.ceiling_alert(weekly, contracts, ["serie"]).collect()}
     assert got == {"a": "CRÍTICO", "b": "ATENÇÃO", "c": "ATENÇÃO", "d": "OK", "e": "SEM TETO"}
+
+
+def test_spanning_folds_cover_every_day():
+    from datetime import date
+
+    got = folds.spanning_folds(date(2025, 1, 1), date(2025, 12, 30), test_weeks=7, n_folds=3)
+    assert got[-1].test_end == date(2025, 12, 30) and all(f.train_start == date(2025, 1, 1) for f in got)
+    assert all((f.test_start - f.train_end).days == 1 and (f.test_end - f.test_start).days == 48 for f in got)
+    assert [a.test_end for a in got[:-1]] == [b.train_end for b in got[1:]]
+    with pytest.raises(ValueError):
+        folds.spanning_folds(date(2025, 1, 1), date(2025, 3, 1))
+
+
+def test_resamples_refuse_no_draws(spark):
+    from tidemark.operators import ranking
+
+    rows = spark.createDataFrame([(1, 1, 0.5)], "id long, y int, score double")
+    with pytest.raises(ValueError):
+        ranking.bootstrap_interval(rows, [], spare=0)

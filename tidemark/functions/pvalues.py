@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import lgamma
+from math import erfc, lgamma, log, sqrt
 
 import numpy as np
 import pandas as pd
@@ -12,48 +12,33 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 
-def _upper_gamma(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma: series below a + 1, continued fraction above."""
-    if x <= 0:
+def _tail(stat: float, dof: int) -> float:
+    """With whole degrees of freedom the tail is a finite sum, and for odd ones erfc beside it."""
+    half, odd = stat / 2.0, dof % 2
+    if half <= 0:
         return 1.0
-    scale = np.exp(-x + a * np.log(x) - lgamma(a))
-    if x < a + 1:
-        term = total = 1.0 / a
-        step = a
-        while abs(term) > abs(total) * 1e-15:
-            step += 1
-            term *= x / step
-            total += term
-        return float(max(0.0, 1.0 - total * scale))
-    tiny = 1e-300
-    b = x + 1 - a
-    c, d = 1 / tiny, 1 / b
-    value = d
-    for i in range(1, 500):
-        an = -i * (i - a)
-        b += 2
-        d = 1 / (an * d + b if abs(an * d + b) > tiny else tiny)
-        c = b + an / c if abs(b + an / c) > tiny else tiny
-        value *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return float(value * scale)
+    head = erfc(sqrt(half)) if odd else 0.0
+    powers = np.arange(dof // 2) + odd / 2.0
+    if not len(powers):
+        return head
+    # Each term is the one before it times half / power; logs keep large ones in range.
+    first = -half + powers[0] * log(half) - lgamma(powers[0] + 1)
+    logs = first + np.concatenate([[0.0], np.cumsum(log(half) - np.log(powers[1:]))])
+    return min(1.0, head + float(np.exp(logs).sum()))
 
 
 @pandas_udf(DoubleType())
-def _chi2_tail(stat: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if pd.isna(x) or pd.isna(d) or d < 1 else _upper_gamma(d / 2.0, x / 2.0)
-            for x, d in zip(stat, dof)
-        ],
-        dtype="float64",
-    )
+def _tails(stat: pd.Series, dof: pd.Series) -> pd.Series:
+    values = [None if pd.isna(x) or pd.isna(d) or d < 1 else _tail(x, int(d)) for x, d in zip(stat, dof)]
+    return pd.Series(values, dtype="float64")
 
 
 def chi2_p_value(stat: Column, dof: Column | int) -> Column:
-    """P(X >= stat); two degrees of freedom have a closed form, others use a batch function."""
-    if dof == 2:
+    """P(X >= stat), null without a statistic or a degree of freedom.
+
+    Two degrees of freedom have a closed form; others use a batch function, so call this on result rows.
+    """
+    if isinstance(dof, int) and dof == 2:
         return F.exp(-stat / 2.0)
     freedom = F.lit(dof) if isinstance(dof, int) else dof
-    return _chi2_tail(stat.cast("double"), freedom.cast("int"))
+    return _tails(stat.cast("double"), freedom.cast("int"))

@@ -7,6 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.pvalues import chi2_p_value
 from tidemark.operators.ordering import midranks
 
 
@@ -63,7 +64,8 @@ def missingness_test(df: DataFrame, category: str, column: str) -> DataFrame:
         .groupBy(category, F.col(column).isNull().alias("_missing"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return chi_square(counts, [], category, "_missing")
+    found = chi_square(counts, [], category, "_missing")
+    return found.withColumn("p_value", chi2_p_value(F.col("chi2"), F.col("dof")))
 
 
 def pair_counts(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -117,7 +119,7 @@ def cramers_v_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
-    """(n, n_groups, n_excluded, h): tie-corrected rank statistic over the filled rows."""
+    """(n, n_groups, n_excluded, h, p_value): tie-corrected rank statistic over the filled rows."""
     filled = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
     ranks = midranks(filled, [], value, "_rank")
     ties = ranks.agg(
@@ -144,7 +146,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str) -> DataFrame:
         "n_groups",
         out.alias("n_excluded"),
         (raw / F.nullif(1 - F.col("_t.ties") / (n * n * n - n), F.lit(0.0))).alias("h"),
-    )
+    ).withColumn("p_value", chi2_p_value(F.col("h"), F.col("n_groups") - 1))
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.pvalues import chi2_p_value
 from tidemark.functions.calendar import cyclic, holiday_flags
 from tidemark.operators.folds import Fold, assign_folds
 from tidemark.operators.series import weekly_sums
@@ -206,8 +207,12 @@ def residual_interval(
     )
 
 
+# Residual test -> degrees of freedom.
+RESIDUAL_TESTS = {"ljung_box": 1, "jarque_bera": 2, "breusch_pagan": 1}
+
+
 def residual_diagnostics(residuals: DataFrame, groups: list[str], day: str = "data") -> DataFrame:
-    """Autocorrelation (lag 1), normality and variance statistics of residuals, from moments."""
+    """Autocorrelation (lag 1), normality and variance statistics of residuals, from moments, with their p-values."""
     ordered = Window.partitionBy(*groups).orderBy(day)
     e = residuals.withColumn(
         "_c", F.col("residual") - F.avg("residual").over(Window.partitionBy(*groups))
@@ -235,7 +240,7 @@ def residual_diagnostics(residuals: DataFrame, groups: list[str], day: str = "da
         kurt.alias("kurtosis"),
         (n / 6 * (skew * skew + (kurt - 3) * (kurt - 3) / 4)).alias("jarque_bera"),
         (n * F.col("cov") * F.col("cov") / F.nullif(F.col("spread"), F.lit(0.0))).alias("breusch_pagan"),
-    )
+    ).withColumns({f"{name}_p": chi2_p_value(F.col(name), dof) for name, dof in RESIDUAL_TESTS.items()})
 
 
 def weekly_projection(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import forecast, series
 from tidemark.operators.folds import Fold, observed_span, spanning_folds
-from tidemark.plans.registry import query, rounded, with_tickets
+from tidemark.plans.registry import query, rounded, sql_chi2_tail, with_tickets
 from tidemark.session import settle
 from tidemark.sources.tables import table, tickets
 
@@ -351,16 +351,18 @@ def residual_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
       residual * residual AS sq FROM rs),
     g AS (SELECT *, lag(x) OVER (PARTITION BY serie, fold ORDER BY data) AS px FROM c),
     m AS (SELECT serie, fold, count(*) AS n, avg(x^2) AS m2, avg(x^3) AS m3, avg(x^4) AS m4, sum(x * px) / sum(x * x) AS r1,
-      corr(sq, fitted) AS rho FROM g GROUP BY 1, 2)
-    SELECT serie, fold, n, round(n * (n + 2) * r1 * r1 / (n - 1), 6) AS ljung_box, round(m3 / m2^1.5, 6) AS skew,
-      round(m4 / (m2 * m2), 6) AS kurtosis,
-      round(n / 6 * ((m3 / m2^1.5)^2 + (m4 / (m2 * m2) - 3)^2 / 4), 6) AS jarque_bera, round(n * rho * rho, 6) AS breusch_pagan FROM m""",
+      corr(sq, fitted) AS rho FROM g GROUP BY 1, 2),
+    x AS (SELECT serie, fold, n, n * (n + 2) * r1 * r1 / (n - 1) AS ljung_box, m3 / m2^1.5 AS skew, m4 / (m2 * m2) AS kurtosis,
+      n / 6 * ((m3 / m2^1.5)^2 + (m4 / (m2 * m2) - 3)^2 / 4) AS jarque_bera, n * rho * rho AS breusch_pagan FROM m)
+    SELECT serie, fold, n, round(skew, 6) AS skew, round(kurtosis, 6) AS kurtosis, {", ".join(
+      f"round({c}, 6) AS {c}, {sql_chi2_tail(c, str(dof))} AS {c}_p" for c, dof in forecast.RESIDUAL_TESTS.items())} FROM x""",
 )
 def residual_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _sides(spark, sf_dir)
     residuals = forecast.seasonal_residuals(train, KEYS, "total")
     found = forecast.residual_diagnostics(residuals, [*KEYS, "fold"])
-    return _rounded_all(found, ["ljung_box", "skew", "kurtosis", "jarque_bera", "breusch_pagan"])
+    p_values = [f"{c}_p" for c in forecast.RESIDUAL_TESTS]
+    return _rounded_all(found, ["skew", "kurtosis", *forecast.RESIDUAL_TESTS, *p_values])
 
 
 _WEEK = f"""{_BANDS}, lw AS (SELECT serie, fold, CAST(sum(total) AS BIGINT) AS last_week FROM tr WHERE data > b - 7 GROUP BY 1, 2),

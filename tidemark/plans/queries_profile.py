@@ -22,7 +22,7 @@ from tidemark.plans.queries_layers import (
     _sql_holidays,
     sql_clean_text,
 )
-from tidemark.plans.registry import query, rounded, with_tickets
+from tidemark.plans.registry import query, rounded, sql_chi2_tail, with_tickets
 from tidemark.sources.tables import table, tickets
 
 _ELIGIBLE = (
@@ -560,12 +560,13 @@ def _sql_chi2(counts: str, keys: str = "") -> str:
     "chi2_missingness",
     with_tickets(
         _sql_chi2("SELECT aberto_por AS a, categoria IS NULL AS b, count(*) AS n FROM tickets GROUP BY 1, 2")
-        + " SELECT n, n_a, n_b, (n_a - 1) * (n_b - 1) AS dof, round(chi2, 4) AS chi2 FROM chi"
+        + " SELECT n, n_a, n_b, (n_a - 1) * (n_b - 1) AS dof, round(chi2, 4) AS chi2, "
+        + sql_chi2_tail("chi2", "((n_a - 1) * (n_b - 1))") + " AS p_value FROM chi"
     ),
 )
 def chi2_missingness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return association.missingness_test(tickets(spark, sf_dir), "aberto_por", "categoria").withColumn(
-        "chi2", rounded("chi2", 4)
+    return association.missingness_test(tickets(spark, sf_dir), "aberto_por", "categoria").withColumns(
+        {"chi2": rounded("chi2", 4), "p_value": rounded("p_value")}
     )
 
 
@@ -618,21 +619,24 @@ def cramers_v_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "kruskal_wallis",
     with_tickets(
-        """t AS (SELECT CASE WHEN numero % 11 <> 0 THEN duracao END AS v, prioridade AS g FROM tickets),
+        f"""t AS (SELECT CASE WHEN numero % 11 <> 0 THEN duracao END AS v, prioridade AS g FROM tickets),
         r AS (SELECT g, v, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2 AS rk,
           count(*) OVER (PARTITION BY v) AS c FROM t WHERE v IS NOT NULL),
         s AS (SELECT g, sum(rk) AS sr, count(*) AS m FROM r GROUP BY 1),
-        k AS (SELECT count(*)::DOUBLE AS n, sum(c * c - 1)::DOUBLE AS ties FROM r)
-        SELECT CAST(any_value(n) AS BIGINT) AS n, count(*) AS n_groups, (SELECT count(*) FROM t WHERE v IS NULL) AS n_excluded,
-          round((12 / (any_value(n) * (any_value(n) + 1)) * sum(sr * sr / m) - 3 * (any_value(n) + 1)) /
-            (1 - any_value(ties) / (any_value(n)^3 - any_value(n))), 4) AS h FROM s, k"""
+        k AS (SELECT count(*)::DOUBLE AS n, sum(c * c - 1)::DOUBLE AS ties FROM r),
+        x AS (SELECT CAST(any_value(n) AS BIGINT) AS n, count(*) AS n_groups, (SELECT count(*) FROM t WHERE v IS NULL) AS n_excluded,
+          (12 / (any_value(n) * (any_value(n) + 1)) * sum(sr * sr / m) - 3 * (any_value(n) + 1)) /
+            (1 - any_value(ties) / (any_value(n)^3 - any_value(n))) AS h FROM s, k)
+        SELECT n, n_groups, n_excluded, round(h, 4) AS h, {sql_chi2_tail("h", "(n_groups - 1)")} AS p_value FROM x"""
     ),
 )
 def kruskal_wallis(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tickets(spark, sf_dir).selectExpr(
         "CASE WHEN numero % 11 <> 0 THEN duracao END AS duracao", "prioridade"
     )
-    return association.kruskal_wallis(rows, "duracao", "prioridade").withColumn("h", rounded("h", 4))
+    return association.kruskal_wallis(rows, "duracao", "prioridade").withColumns(
+        {"h": rounded("h", 4), "p_value": rounded("p_value")}
+    )
 
 
 @query(

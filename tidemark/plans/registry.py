@@ -36,3 +36,11 @@ def with_tickets(body: str) -> str:
 
 def rounded(column: Column | str, digits: int = 6) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, digits)
+
+
+def sql_chi2_tail(stat: str, dof: str) -> str:
+    """Six digits of P(X >= stat): one less the rising series of the lower tail, whose terms are all positive."""
+    terms = f"range(0, CAST({stat} + 10 * sqrt({stat}) + 200 AS BIGINT))"
+    term = f"exp(-({stat}) / 2 + (({dof}) / 2 + i) * ln(({stat}) / 2) - lgamma(({dof}) / 2 + i + 1))"
+    return f"""CASE WHEN {dof} < 1 THEN NULL WHEN {stat} <= 0 THEN 1 ELSE
+      round(greatest(0, 1 - list_sum(list_transform({terms}, lambda i: {term}))), 6) END::DOUBLE"""
