@@ -108,6 +108,17 @@ def test_repeats_across_runs_and_in_periodic_text(spark, monkeypatch):
     assert {i: tuple(r)[1:] for i, r in ((i, (r["doc_id"], *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])) for i, r in found.items())} == brute_removal([r[:2] for r in rows])
 
 
+def test_repeated_rows_count_once_for_repeats(spark):
+    passage = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(4))
+    # Equal segments, and segments that share an anchor with others, in rows that stand there up to three times.
+    rows = [(1, passage, None, None, None)] * 3 + [(2, f"{passage[:180]}!{'tail ' * 9}", None, None, None)] * 2
+    rows += [(3, f"head {passage[20:210]}?", None, None, None), (4, "x" * 150, None, None, None), (4, "x" * 150, None, None, None)]
+    found = suffix_dedup.removal_digest(suffix_dedup.remove_repeats(docs(spark, rows))).collect()
+    expected = brute_removal({r[:2] for r in rows})
+    assert expected[1][1] == 0 and expected[2][1] > 0
+    assert sorted(map(tuple, found)) == sorted((r[0], *expected[r[0]]) for r in rows)
+
+
 def test_vectors_on_planted_links_and_odd_rows(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((150, 16))

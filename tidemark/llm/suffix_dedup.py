@@ -303,11 +303,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.xxhash64(whole).bitwiseAND(F.lit(0xFFFFFF)).cast("int").alias("tag"),
         whole.alias("text"),
     )
-    marks = settle(compare_segments(find_segments(own)), "marks")
+    # Rows equal in id and text would repeat themselves and double the pieces; only the cut sees all of them.
+    once = own.dropDuplicates(["doc", "tag"])
+    marks = settle(compare_segments(find_segments(once)), "marks")
     shared = marks.where("kind = 1").drop("kind")
-    # Rows equal in id and text would double the pieces.
     pieces = (
-        shared.join(own, ["doc", "tag"])
+        shared.join(once, ["doc", "tag"])
         .select("anchor", "doc", "tag", "lo", "n", F.substring(F.col("text").cast("binary"), F.col("lo") + 1, F.col("n") + LEAST - 1).alias("piece"))
     )
     compared = settle(compare_windows(pieces), "windows")
