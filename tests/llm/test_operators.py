@@ -201,6 +201,18 @@ def test_licenses_on_lines(spark):
     assert (found[1]["licenses"], found[1]["lines"], found[2]["licenses"], found[3]["n_matches"]) == ("mit", "2:mit", "", 0)
 
 
+def test_licenses_off_lines(spark):
+    wrapped = "\n\nint x;\n * Use of this source code is governed by a BSD-style\n * license that can be found in the LICENSE file.\n"
+    bodies = dict(licenses.TEXTS)
+    body = "Copyright 2020 Acme\n\n" + re.sub(r"((?:\S+ ){9})", r"\1\n# ", bodies["mit"])
+    both = "(c) 2020 Acme. Released under the MIT License. Licensed under CC BY-NC 4.0. All rights reserved."
+    gpl = "x\nThis work is licensed under the GNU General Public License, version 2.\nThis work is licensed under the GNU General Public\nLicense, version 3."
+    rows = [(i, t, "a", "en", 1) for i, t in enumerate(("(c) 2020 Acme. Released under the MIT License.", wrapped, body, both, gpl, "word " * 3000 + bodies["isc"]), 1)]
+    found = by_id(licenses.license_digest(licenses.scan_licenses(docs(spark, rows))))
+    assert [found[i]["lines"] for i in range(1, 7)] == ["1:mit", "4:bsd-3-clause", "3:mit", "1:mit,1:cc-by-nc-4.0", "2:gpl-2.0,3:gpl-3.0", "1:isc"]
+    assert all(found[i]["best_dice"] == 1 for i in (1, 2, 3, 4, 5, 6))
+
+
 def test_mixing_targets_and_bounds(spark):
     rows = mixing.mix_documents(docs(spark)).collect()
     assert len(rows) == len(ODD)
