@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -169,3 +170,29 @@ def test_repeated_positives_balance(spark, sides):
 @pytest.mark.parametrize("name", ["feature_matrix", "cluster_rate", "batch_score"])
 def test_model_queries_on_given_rows(spark, sf_dir, name):
     assert all_queries()[name](spark, sf_dir).count() > 0
+
+
+def test_queries_run_the_whole_job(monkeypatch):
+    from datetime import date
+
+    from tidemark.plans import queries_risk as q
+
+    calls, frame = [], MagicMock()
+    monkeypatch.setattr(q, "model_rows", lambda *_: frame)
+    monkeypatch.setattr(q, "F", MagicMock())
+    monkeypatch.setattr(q.fold_ops, "in_fold", lambda time, fold, side: calls.append((fold.test_end, {})))
+    monkeypatch.setattr(q.fold_ops, "observed_span", lambda *_: (date(2024, 1, 1), date(2024, 1, 30)))
+    for name in ("fit_boosted", "tune_boosted", "fit_text_clusters", "logit_significance", "fit_perceptron", "score_rows"):
+        monkeypatch.setattr(q.risk, name, lambda *_, name=name, **given: calls.append((name, given)) or frame)
+    monkeypatch.setattr(q.risk, "tune_perceptron", lambda *_, **given: calls.append(("grid", given)) or ({"hidden": [2], "maxIter": 1}, []))
+    for name in ("_evaluate", "settle"):
+        monkeypatch.setattr(q, name, MagicMock())
+    for job in (q.gbt_tuning, q.feature_importance, q.text_clusters, q.mlp_risk, q.logit_significance):
+        monkeypatch.setattr(q, "rounded", MagicMock())
+        job(MagicMock(), "")
+    given = [(n, set(k)) for n, k in calls if isinstance(n, str)]
+    assert given.count(("tune_boosted", set())) == 3 and ("fit_boosted", set()) in given and ("grid", set()) in given
+    assert ("fit_text_clusters", {"clusters"}) in given
+    tests = [k for n, k in calls if n == "logit_significance"]
+    assert all(k["replicates"] == 300 and k["numbers"] == q.risk.NUMERIC for k in tests) and tests[-1]["categories"] == q.risk.CATEGORICAL
+    assert {n for n, _ in calls if isinstance(n, date)} == {date(2024, 1, d) for d in (16, 23, 30)}

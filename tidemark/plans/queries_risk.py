@@ -44,6 +44,11 @@ def _fold_rows(spark: SparkSession, sf_dir: str, fold: fold_ops.Fold) -> tuple[D
     )
 
 
+def _spanning(spark: SparkSession, sf_dir: str) -> list[fold_ops.Fold]:
+    """Three folds of one test week that end on the last observed day."""
+    return fold_ops.spanning_folds(*fold_ops.observed_span(model_rows(spark, sf_dir), "aberto"), test_weeks=1)
+
+
 def _evaluate(scored: DataFrame, groups: list[str]) -> DataFrame:
     """(groups, n, n_pos, average_precision, roc_auc)"""
     steps = ranking.threshold_table(scored, groups, y="target")
@@ -202,29 +207,31 @@ def logit_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_REPLICATES = 300
+
+
 @query("logit_significance")
 def logit_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _fold_rows(spark, sf_dir, TICKET_FOLDS[-1])
-    numbers = ["hora_sin", "hora_cos", "fim_de_semana", "ic_contagem_historica", "grupo_chamados_ultima_hora"]
+    train, _ = _fold_rows(spark, sf_dir, _spanning(spark, sf_dir)[-1])
     classic = risk.logit_significance(
-        train, "target", categories=["prioridade", "turno_abertura"], numbers=numbers, row_id="numero", replicates=10
+        train, "target", categories=["prioridade", "turno_abertura"], numbers=risk.NUMERIC, row_id="numero", replicates=_REPLICATES
     )
     # Teams without a positive make the likelihood diverge, which leads to the resampled intervals.
     drawn = risk.logit_significance(
-        train, "target", categories=["prioridade", "grupo_designado"], numbers=numbers, row_id="numero", replicates=10
+        train, "target", categories=risk.CATEGORICAL, numbers=risk.NUMERIC, row_id="numero", replicates=_REPLICATES
     )
     return classic.unionByName(drawn)
 
 
 def _boosted(spark: SparkSession, sf_dir: str, fold: fold_ops.Fold, **params):
     train, test = _fold_rows(spark, sf_dir, fold)
-    return risk.fit_boosted(train, **{"maxIter": 10, "maxDepth": 3, **params}), train, test
+    return risk.fit_boosted(train, **params), train, test
 
 
 @query("gbt_risk")
 def gbt_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = []
-    for fold in TICKET_FOLDS:
+    for fold in _spanning(spark, sf_dir):
         model, train, test = _boosted(spark, sf_dir, fold)
         base = risk.group_rate_scores(train, test, [], "prioridade", "target")
         scores.append(model.score(test, ["target"]).withColumn("model", F.lit("arvores")))
@@ -236,13 +243,13 @@ def gbt_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gbt_tuning")
 def gbt_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = _fold_rows(spark, sf_dir, TICKET_FOLDS[-1])
-    return risk.tune_boosted(train, trials=3, max_iter=(4, 10))
+    folds = _spanning(spark, sf_dir)
+    return _stack([risk.tune_boosted(_fold_rows(spark, sf_dir, f)[0]).withColumn("fold", F.lit(f.fold)) for f in folds])
 
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = risk.fit_boosted(model_rows(spark, sf_dir), maxIter=10, maxDepth=3)
+    model = risk.fit_boosted(model_rows(spark, sf_dir))
     rows = spark.createDataFrame(model.importance(), "feature string, importance double")
     return rows.orderBy(F.desc("importance"), "feature").limit(15).withColumn(
         "importance", rounded("importance")
@@ -250,8 +257,8 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clusters(spark: SparkSession, sf_dir: str):
-    train, test = _fold_rows(spark, sf_dir, TICKET_FOLDS[-1])
-    found = risk.fit_text_clusters(train, clusters=6, starts=3)
+    train, test = _fold_rows(spark, sf_dir, _spanning(spark, sf_dir)[-1])
+    found = risk.fit_text_clusters(train, clusters=6)
     return found, train, test
 
 
@@ -274,9 +281,8 @@ def cluster_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mlp_risk")
 def mlp_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _fold_rows(spark, sf_dir, TICKET_FOLDS[-1])
-    grid = [{"hidden": o["hidden"], "maxIter": o["maxIter"] // 4} for o in risk.PERCEPTRON_GRID]
-    best, _ = risk.tune_perceptron(train, grid=grid)
+    train, test = _fold_rows(spark, sf_dir, _spanning(spark, sf_dir)[-1])
+    best, _ = risk.tune_perceptron(train)
     model = risk.fit_perceptron(train, hidden=best["hidden"], max_iter=best["maxIter"])
     scored = risk.score_rows(model, test, "numero", ["target"]).withColumn(
         "model", F.lit("-".join(map(str, best["hidden"])))
