@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, langid, licenses, minhash, mixing, quality, secret_scan, suffix_dedup, vector_dedup
+from tidemark.llm import byte_bpe, chat_format, decontaminate, langid, licenses, minhash, mixing, periodic_runs, quality, secret_scan, suffix_dedup, vector_dedup
 from tidemark.llm.common import table
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -261,6 +261,25 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.similar_vectors(table(spark, sf_dir, "embeddings"))
 
 
+# Op 12 ------------------------------------------------------------------------------------------------------
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.planted_words().alias("words"))
+    return periodic_runs.runs_digest(periodic_runs.periodic_runs(docs, F.col("words")))
+
+
+# Op 13 ------------------------------------------------------------------------------------------------------
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.encoding_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 # The pipeline -------------------------------------------------------------------------------------------------
 
 import corpus_pipeline  # noqa: E402
