@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from tidemark.llm import byte_bpe, periodic_runs
+from tidemark.llm import byte_bpe, conversation_repair, periodic_runs
 
 JOBS = spark_entry.queries()
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -177,3 +177,127 @@ def test_looking_up_forgets_in_time(monkeypatch, library, tables):
     for n in range(6):
         text = " ".join(f"wörd{n}x{i}" for i in range(n))
         assert byte_bpe.encode_slice(tables, pa.array([text, "", text])).to_pylist() == [library.encode_ordinary(t) for t in (text, "", text)]
+
+
+# Conversation repair ----------------------------------------------------------------------------------------
+
+GOOD = re.compile(r"(s?(ua)+)?")
+BLANK = " \t\n\x0b\f\r"
+
+
+def damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def cheapest(symbols):
+    """The least (cost, audit) by a plain program over rows: symbols are (initial, fault)."""
+    steps = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+
+    def inserted(ways):
+        for _ in range(3):
+            for (i, initial), j in steps.items():
+                if initial in "ua" and i in ways:
+                    way = (ways[i][0] + 3, ways[i][1] + "I")
+                    ways[j] = min(ways.get(j, way), way)
+        return ways
+
+    ways = inserted({0: (0, "")})
+    for initial, fault in symbols:
+        after = {}
+        for i, (cost, audit) in ways.items():
+            options = [(i, cost + 4, "D")]
+            if fault not in ("blank", "duplicate"):
+                more = 3 if fault == "truncated" else 0
+                options += [(j, cost + more, "K") for (at, wanted), j in steps.items() if at == i and wanted == initial]
+                options += [(j, cost + more + 3, "R") for (at, wanted), j in steps.items() if at == i and wanted in "ua"]
+            for j, total, letter in options:
+                way = (total, audit + letter)
+                after[j] = min(after.get(j, way), way)
+        ways = inserted(after)
+    return min(ways[j] for j in (0, 3) if j in ways)
+
+
+def brute_repair(rows, damage=True):
+    every = {r[0] for r in rows}
+    by_conv = {c: [] for c in every}
+    for r in damaged(rows) if damage else [(c, t, " " if role is None else role, " " if text is None else text) for c, t, role, text in rows]:
+        by_conv[r[0]].append(r)
+    found = {}
+    for conv, members in by_conv.items():
+        members.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        seen, symbols = set(), []
+        for _, _, role, text in members:
+            body = text.strip(BLANK)
+            fault = "blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else ""
+            seen.add((role, text))
+            symbols.append((role[:1] if role[:1] in tuple("sua") else "?", fault))
+        turns = [r[1] for r in members if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        faults = [f for _, f in symbols]
+        initials = [r[2][:1] for r in members]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit = cheapest(symbols)
+        lines, state, left = [], "", iter(members)
+        for letter in audit:
+            row = next(left) if letter != "I" else None
+            if letter != "D":
+                role = row[2] if letter == "K" else "assistant" if state == "u" else "user"
+                lines.append(f"{role}:{row[3] if row else ''}")
+                state = role[0]
+        assert GOOD.fullmatch("".join(line[0] for line in lines))
+        found[conv] = (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines)))
+    return found
+
+
+def test_conversation_repair_query(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    found = {r["conv_id"]: tuple(r)[1:] for r in JOBS["op11_conversation_repair"](spark, sf_dir).collect()}
+    assert found == brute_repair(rows)
+
+
+def odd_turns(seed, n):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", None, "", "umpire"]
+    texts = ["Yes.", "No!", "cut off", "", " \t", None, "Why? ", "x" * 70_000 + ".", "é!"]
+    return [
+        (rng.choice([None, 1, 1, 1, 2, 3, 4]), rng.choice([None, *range(12), 40]), rng.choice(roles), rng.choice(texts)) for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("piece", [1, 3, 256])
+def test_conversation_repair_on_odd_rows(spark, piece):
+    rows = odd_turns(piece, 120) + [(9, None, "user", "Hi.")] * 30 + [(8, i, "ua"[i % 2] + "x", f"{i}.") for i in range(40)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    turns = turns.withColumns({c: F.lit("clash") for c in ("place", "piece", "sequence", "audit", "state", "cost", "salt", "first", "nth", "copy", "kind")})
+    summaries, repaired, digests = conversation_repair.repair_conversations(turns, piece=piece)
+    digest = {r["conv_id"]: r["repaired_sha256"] for r in digests.collect()}
+    found = {r["conv_id"]: (*tuple(r)[1:], digest.get(r["conv_id"], sha(""))) for r in summaries.collect()}
+    assert found == brute_repair(rows, damage=False)
+    lines = {}
+    for r in repaired.orderBy("conv_id", "piece", "nth").collect():
+        lines.setdefault(r["conv_id"], []).append(f"{r['role']}:{r['text']}")
+    assert {c: sha("\n".join(v)) for c, v in lines.items()} == digest
+    assert {r["conv_id"]: tuple(r)[1:] for r in conversation_repair.repair_digest(turns).collect()} == brute_repair(rows)
+
+
+def test_conversation_repair_of_nothing(spark):
+    turns = spark.createDataFrame([], "conv_id string, turn int, role string, text string")
+    assert [f.count() for f in conversation_repair.repair_conversations(turns)] == [0, 0, 0]
+    gone = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    turns = spark.createDataFrame([(gone, 0, "user", "Hi.")], "conv_id long, turn long, role string, text string")
+    assert [tuple(r) for r in conversation_repair.repair_digest(turns).collect()] == [(gone, 0, 0, 0, 0, 0, 0, "", sha(""))]
+
+
+def test_rules_are_shared_and_change_nothing(spark):
+    rng = random.Random(4)
+    sequences = sorted({"".join(rng.choice("aeim") for _ in range(rng.randint(1, 30))) + "f" * rng.choice([0, 40]) for _ in range(300)})
+    rules = conversation_repair.learn_grammar(spark.createDataFrame([(s,) for s in sequences], "sequence string"), a_round=4)
+    assert len(rules) > 8 and any(ord(left) >= 0xE000 for left, _ in rules)
+    plain, ruled = ({r["sequence"]: (r["cost"], r["audit"]) for r in conversation_repair.work_out(spark.createDataFrame([(s,) for s in sequences], "sequence string"), g).collect()} for g in ([], rules))
+    assert plain == ruled

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat_format, decontaminate, langid, licenses, minhash, mixing, periodic_runs, quality, secret_scan, suffix_dedup, vector_dedup
+from tidemark.llm import byte_bpe, chat_format, conversation_repair, decontaminate, langid, licenses, minhash, mixing, periodic_runs, quality, secret_scan, suffix_dedup, vector_dedup
 from tidemark.llm.common import table
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -261,6 +261,14 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.similar_vectors(table(spark, sf_dir, "embeddings"))
 
 
+# Op 11 ------------------------------------------------------------------------------------------------------
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_digest(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 # Op 12 ------------------------------------------------------------------------------------------------------
 
 
