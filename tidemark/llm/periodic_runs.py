@@ -168,19 +168,21 @@ def periodic_runs(docs: DataFrame, words: Column | None = None, text: str = "tex
     return docs.select(*[f"`{c}`" for c in rest.columns], listed.alias(given)).mapInArrow(work, schema)
 
 
-def planted_words(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """The words of a text; in about a tenth of the documents, told by the checksum of their id, with a planted run.
+def planted_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and `words`; about a tenth of the documents, told by the checksum of their id, get a planted run.
 
     A null id counts as the text 'null'.
     """
-    h = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-    w = words_of(F.col(text))
-    n = F.size(w).cast("long")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    n = F.size("w").cast("long")
     g = F.floor(h / 10)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    planted = F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int"))))
-    return F.when((h % 10 == 0) & (n > 0), planted).otherwise(w)
+    split = docs.select(F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("w"))
+    placed = split.select("doc_id", "w", (n - g % n).cast("int").alias("rest"), F.when((h % 10 == 0) & (n > 0), 3 + g % 8).alias("parts"))
+    rest = F.col("rest")
+    period = (1 + F.floor(rest / F.col("parts"))).cast("int")
+    head, block = F.slice("w", 1, F.size("w") - rest), F.slice("w", F.size("w") - rest + 1, period)
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil(rest / period).cast("int"))), 1, rest)
+    return placed.select("doc_id", F.when(F.col("parts").isNotNull(), F.concat(head, tail)).otherwise(F.col("w")).alias("words"))
 
 
 def runs_digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -274,7 +274,7 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op12_periodic_runs")
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.planted_words().alias("words"))
+    docs = periodic_runs.planted_words(table(spark, sf_dir, "documents"))
     return periodic_runs.runs_digest(periodic_runs.periodic_runs(docs, F.col("words")))
 
 
