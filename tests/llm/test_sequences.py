@@ -149,7 +149,7 @@ def test_classes_are_the_librarys(library, tables):
     single = {bytes([i]): i for i in range(256)}
     for pattern, ours in ((r"\p{L}+", byte_bpe.LETTER), (r"\p{N}+", byte_bpe.NUMBER), (r"\s+", byte_bpe.SPACE)):
         theirs = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single, special_tokens={})
-        found = byte_bpe.arrow(tables, f"SELECT array_to_string(regexp_extract_all($text, '[{ours}]+'), '') AS t", {"text": every})["t"][0].as_py()
+        found = byte_bpe.arrow(tables.con, f"SELECT array_to_string(regexp_extract_all($text, '[{ours}]+'), '') AS t", {"text": every})["t"][0].as_py()
         assert found == theirs.decode(theirs.encode_ordinary(every))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import duckdb
 import numpy as np
@@ -39,7 +40,7 @@ CHUNK = f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 PIECE = f"{ENDINGS}| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+"
 
 SLICE_BYTES = 2 << 20
-BATCH_BYTES = 200_000
+BATCH_BYTES = 400_000
 LONG = 64
 VERY_LONG = 1024
 ROUNDS, LONG_ROUNDS = 64, 16
@@ -59,17 +60,19 @@ _BORDER = re.compile(f"(?<=[^{_BLANK}])[{_BLANK}]")
 
 # Ranks are ids; a word's leftmost pair of least rank is the least (rank, position).
 CONTRACT = """
-WITH RECURSIVE t(word, step, pos, token) AS (
-  SELECT word, 0, pos, token FROM tokens
+WITH RECURSIVE t(key, step, token) AS (
+  SELECT word * 4294967296 + pos, 0, token FROM tokens
   UNION ALL
-  SELECT t.word, step + 1, pos - (pos > place)::BIGINT, CASE WHEN pos = place THEN b.merged ELSE token END
+  SELECT CASE WHEN t.key > b.key THEN t.key - 1 ELSE t.key END, step + 1, CASE WHEN t.key = b.key THEN b.merged ELSE token END
   FROM t JOIN (
-    SELECT word, least % 4294967296 AS place, least // 4294967296 AS merged FROM (
-      SELECT a.word, min(m.merged * 4294967296 + a.pos) AS least
-      FROM t a JOIN t b ON b.word * 4294967296 + b.pos = a.word * 4294967296 + a.pos + 1
-      JOIN merges m ON m.pair = a.token * 4294967296 + b.token GROUP BY a.word)) b ON b.word = t.word
-  WHERE pos <> place + 1 AND step < $rounds
-)"""
+    SELECT word, word * 4294967296 + least % 4294967296 AS key, least // 4294967296 AS merged FROM (
+      SELECT a.key >> 32 AS word, min(m.merged * 4294967296 + (a.key & 4294967295)) AS least
+      FROM t a JOIN t b ON b.key = a.key + 1 JOIN merges m ON m.pair = a.token * 4294967296 + b.token GROUP BY 1)) b
+  ON b.word = t.key >> 32
+  WHERE t.key <> b.key + 1 AND step < $rounds
+)
+SELECT word, key & 4294967295 AS pos, token, step FROM (SELECT key >> 32 AS word, key, token, step FROM t)
+JOIN (SELECT key >> 32 AS word, max(step) AS step FROM t GROUP BY 1) USING (word, step)"""
 
 # For long words: all places of the least rank at once, every other one in a chain of overlapping places. It
 # equals one place after another if no pair with the new token ranks before it ("calm"); else only the first goes.
@@ -92,8 +95,8 @@ WITH RECURSIVE t(word, step, pos, token) AS (
       WHERE CASE WHEN calm THEN inside % 2 = 1 ELSE nth = 1 END) c ON c.word = t.word AND c.pos = t.pos
     WHERE step < $rounds)
   WHERE NOT taken
-)"""
-LAST_STEP = "SELECT t.word, t.pos, t.token, step FROM t JOIN (SELECT word, max(step) AS step FROM t GROUP BY word) USING (word, step)"
+)
+SELECT t.word, t.pos, t.token, step FROM t JOIN (SELECT word, max(step) AS step FROM t GROUP BY word) USING (word, step)"""
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -106,28 +109,52 @@ def parse_vocabulary(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines()) if token}
 
 
-def open_tables(lines: bytes, merging: bool) -> duckdb.DuckDBPyConnection:
+@dataclass
+class Tables:
+    """A task's database and, to encode, the merge table with the byte pairs that every merged token holds."""
+
+    con: duckdb.DuckDBPyConnection
+    byte_ids: np.ndarray | None = None
+    merges: pa.Table | None = None
+    pairs: np.ndarray | None = None
+    first_pair: np.ndarray | None = None
+
+    def merges_for(self, data: np.ndarray) -> pa.Table:
+        """Merges whose token's neighbouring bytes all stand somewhere beside each other in `data`; no other can occur."""
+        seen = np.zeros(1 << 16, dtype=bool)
+        seen[data[:-1].astype(np.int64) << 8 | data[1:]] = True
+        return self.merges.filter(pa.array(np.logical_and.reduceat(seen[self.pairs], self.first_pair))) if len(self.pairs) else self.merges
+
+
+def open_tables(lines: bytes, merging: bool) -> Tables:
     """An in-memory database of one thread with the vocabulary and, to encode, the merge table."""
     ranks = parse_vocabulary(lines)
     con = duckdb.connect(config={"threads": 1, "memory_limit": "640MB", "temp_directory": ""})
     con.register("given", pa.table({"id": pa.array(ranks.values(), pa.int64()), "token": pa.array(ranks.keys(), pa.binary())}))
     con.execute("CREATE TABLE vocabulary AS SELECT id::INTEGER AS id, token, hex(token) AS hexed FROM given ORDER BY id")
+    tables = Tables(con)
     if merging:
         # Every way to put a token together from two others.
-        split = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        left, right, merged = (np.array(c, dtype=np.int64) for c in (zip(*split) if split else ((), (), ())))
+        split = [(ranks[t[:i]], ranks[t[i:]], r, t) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        left, right, merged = (np.array([s[i] for s in split], dtype=np.int64) for i in range(3))
         con.register("given", pa.table({"l": left, "r": right, "merged": merged}))
-        con.execute(
-            """CREATE TABLE merges AS SELECT l * 4294967296 + r AS pair, merged, coalesce(soonest, 9223372036854775807) > merged AS calm FROM given LEFT JOIN (
-                 SELECT token, min(merged) AS soonest FROM (SELECT l AS token, merged FROM given UNION ALL SELECT r, merged FROM given) GROUP BY token)
-               s ON s.token = given.merged"""
-        )
+        # "calm": no merge with the new token ranks before the merge that made it.
+        calm = """SELECT l * 4294967296 + r AS pair, merged, coalesce(soonest, 9223372036854775807) > merged AS calm FROM given LEFT JOIN (
+            SELECT token, min(merged) AS soonest FROM (SELECT l AS token, merged FROM given UNION ALL SELECT r, merged FROM given) GROUP BY token)
+          s ON s.token = given.merged ORDER BY given.rowid"""
+        number = pa.array(np.arange(len(split)))
+        con.register("given", pa.table({"l": left, "r": right, "merged": merged, "rowid": number}))
+        tables.merges = arrow(con, calm)
+        size = np.array([len(s[3]) - 1 for s in split], dtype=np.int64)
+        data = np.frombuffer(b"".join(s[3] for s in split), dtype=np.uint8).astype(np.int64)
+        # Pairs of neighbouring bytes, token by token: all neighbours but those across the end of a token.
+        tables.pairs = np.delete(data[:-1] << 8 | data[1:], np.cumsum(size + 1)[:-1] - 1) if len(split) else data
+        tables.first_pair = np.cumsum(size) - size
+        tables.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int64)
         con.execute("CREATE TABLE known(chunk VARCHAR, ids INTEGER[])")
         con.execute("CREATE TABLE coded(piece VARCHAR, ids INTEGER[])")
-        con.register("given", pa.table({"code": np.arange(256), "id": np.array([ranks.get(bytes([i]), -1) for i in range(256)])}))
-        con.execute("CREATE TABLE single AS SELECT code, id FROM given")
     con.unregister("given")
-    return con
+    return tables
 
 
 def arrow(con: duckdb.DuckDBPyConnection, sql: str, values: dict | None = None) -> pa.Table:
@@ -159,10 +186,11 @@ def slices(size, most: int) -> Iterator[tuple[int, int]]:
         yield at, len(size)
 
 
-def contract(con: duckdb.DuckDBPyConnection, words: pa.Array) -> list[pa.Table]:
+def contract(tables: Tables, words: pa.Array) -> list[pa.Table]:
     """(word, pos, token) rows of all words' ids; words are numbered as they stand."""
     size, data = _bytes_of(words)
-    byte_ids = arrow(con, "SELECT id FROM single ORDER BY code")["id"].to_numpy()
+    if len(data):
+        tables.con.register("merges", tables.merges_for(data))
     number = np.arange(len(words), dtype=np.int64)
     done = []
     for long in (False, True):
@@ -171,39 +199,39 @@ def contract(con: duckdb.DuckDBPyConnection, words: pa.Array) -> list[pa.Table]:
             continue
         inside = np.repeat(chosen, size)
         place = (np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size))[inside]
-        tokens = pa.table({"word": np.repeat(number, size)[inside], "pos": place, "token": byte_ids[data[inside]]})
+        tokens = pa.table({"word": np.repeat(number, size)[inside], "pos": place, "token": tables.byte_ids[data[inside]]})
         while tokens.num_rows:
-            con.register("tokens", tokens)
+            tables.con.register("tokens", tokens)
             rounds = LONG_ROUNDS if long else ROUNDS
-            step = arrow(con, (CONTRACT_LONG if long else CONTRACT) + LAST_STEP, {"rounds": rounds})
+            step = arrow(tables.con, CONTRACT_LONG if long else CONTRACT, {"rounds": rounds})
             # What used up its rounds goes on from where it stands; the steps before need not be kept.
             done.append(step.filter(pa.compute.less(step["step"], rounds)).select(["word", "pos", "token"]))
             tokens = step.filter(pa.compute.equal(step["step"], rounds)).select(["word", "pos", "token"])
     return done
 
 
-def contract_lists(con: duckdb.DuckDBPyConnection, words: list[bytes]) -> list[list[int]]:
+def contract_lists(tables: Tables, words: list[bytes]) -> list[list[int]]:
     found = []
     for low, high in slices([len(w) for w in words], BATCH_BYTES):
-        con.register("ready", pa.concat_tables(contract(con, pa.array(words[low:high], pa.binary()))))
-        found += arrow(con, "SELECT list(token ORDER BY pos) AS ids FROM ready GROUP BY word ORDER BY word")["ids"].to_pylist()
+        tables.con.register("ready", pa.concat_tables(contract(tables, pa.array(words[low:high], pa.binary()))))
+        found += arrow(tables.con, "SELECT list(token ORDER BY pos) AS ids FROM ready GROUP BY word ORDER BY word")["ids"].to_pylist()
     return found
 
 
-def code_in_blocks(con: duckdb.DuckDBPyConnection, word: bytes, tokens_of: dict[int, bytes]) -> list[int]:
+def code_in_blocks(tables: Tables, word: bytes, tokens_of: dict[int, bytes]) -> list[int]:
     """Ids of a very long word: blocks are encoded by themselves, then what stands at their seams again.
 
     A row of tokens is the encoding of its bytes if every two neighbours are the encoding of theirs: a first
     contraction across a border would happen in the two neighbours alone as well. So seams that fail are encoded
     anew with twice the tokens about them, until none fails.
     """
-    ids = [i for block in contract_lists(con, [word[at : at + LONG] for at in range(0, len(word), LONG)]) for i in block]
+    ids = [i for block in contract_lists(tables, [word[at : at + LONG] for at in range(0, len(word), LONG)]) for i in block]
     ends = np.cumsum([len(tokens_of[i]) for i in ids])
     seams = [int(i) for i in np.flatnonzero(ends % LONG == 0) if i + 1 < len(ids)]
     reach = 4
     while seams:
         pairs = sorted({(ids[i], ids[i + 1]) for i in seams})
-        found = contract_lists(con, [tokens_of[a] + tokens_of[b] for a, b in pairs])
+        found = contract_lists(tables, [tokens_of[a] + tokens_of[b] for a, b in pairs])
         fails = {pair for pair, now in zip(pairs, found) if tuple(now) != pair}
         windows: list[list[int]] = []
         for i in seams:
@@ -215,7 +243,7 @@ def code_in_blocks(con: duckdb.DuckDBPyConnection, word: bytes, tokens_of: dict[
                     windows.append([low, high])
         if not windows:
             break
-        anew = contract_lists(con, [b"".join(tokens_of[i] for i in ids[low:high]) for low, high in windows])
+        anew = contract_lists(tables, [b"".join(tokens_of[i] for i in ids[low:high]) for low, high in windows])
         out, at, seams = [], 0, []
         for (low, high), now in zip(windows, anew):
             out += ids[at:low]
@@ -228,60 +256,62 @@ def code_in_blocks(con: duckdb.DuckDBPyConnection, word: bytes, tokens_of: dict[
     return ids
 
 
-def code_words(con: duckdb.DuckDBPyConnection, words: pa.Array) -> None:
+def code_words(tables: Tables, words: pa.Array) -> None:
     """Encode distinct pieces and note their ids in `coded`."""
     size, _ = _bytes_of(words)
     usual = words.filter(pa.array(size <= VERY_LONG))
     if len(usual):
-        con.register("ready", pa.concat_tables(contract(con, usual)))
-        con.register("named", pa.table({"word": np.arange(len(usual)), "piece": usual}))
-        con.execute("INSERT INTO coded SELECT piece, ids FROM (SELECT word, list(token ORDER BY pos) AS ids FROM ready GROUP BY word) JOIN named USING (word)")
+        tables.con.register("ready", pa.concat_tables(contract(tables, usual)))
+        tables.con.register("named", pa.table({"word": np.arange(len(usual)), "piece": usual}))
+        tables.con.execute("INSERT INTO coded SELECT piece, ids FROM (SELECT word, list(token ORDER BY pos) AS ids FROM ready GROUP BY word) JOIN named USING (word)")
     if len(usual) < len(words):
-        vocabulary = arrow(con, "SELECT id, token FROM vocabulary")
+        vocabulary = arrow(tables.con, "SELECT id, token FROM vocabulary")
         tokens_of = dict(zip(vocabulary["id"].to_pylist(), vocabulary["token"].to_pylist()))
         for word in words.filter(pa.array(size > VERY_LONG)).to_pylist():
-            ids = code_in_blocks(con, word.encode(), tokens_of)
-            con.register("named", pa.table({"piece": [word], "ids": pa.array([ids], pa.list_(pa.int64()))}))
-            con.execute("INSERT INTO coded SELECT piece, ids FROM named")
+            ids = code_in_blocks(tables, word.encode(), tokens_of)
+            tables.con.register("named", pa.table({"piece": [word], "ids": pa.array([ids], pa.list_(pa.int64()))}))
+            tables.con.execute("INSERT INTO coded SELECT piece, ids FROM named")
 
 
-def encode_slice(con: duckdb.DuckDBPyConnection, texts: pa.Array) -> pa.Array:
+def encode_slice(tables: Tables, texts: pa.Array) -> pa.Array:
     """Token ids of some texts; ids of chunks and pieces that were seen before are looked up."""
-    con.register("texts", pa.table({"row": np.arange(len(texts)), "text": texts}))
-    con.execute(
+    tables.con.register("texts", pa.table({"row": np.arange(len(texts)), "text": texts}))
+    tables.con.execute(
         f"""CREATE OR REPLACE TEMP TABLE chunks AS SELECT row, unnest(c) AS chunk, generate_subscripts(c, 1) AS n
             FROM (SELECT row, regexp_extract_all(text, '{CHUNK}') AS c FROM texts)"""
     )
-    con.execute("CREATE OR REPLACE TEMP TABLE fresh_chunks AS SELECT DISTINCT chunk FROM chunks ANTI JOIN known USING (chunk)")
-    con.execute(f"CREATE OR REPLACE TEMP TABLE parts AS SELECT chunk, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS n FROM ({PIECES})", {"piece": PIECE})
-    con.execute(
+    tables.con.execute("CREATE OR REPLACE TEMP TABLE fresh_chunks AS SELECT DISTINCT chunk FROM chunks ANTI JOIN known USING (chunk)")
+    tables.con.execute(f"CREATE OR REPLACE TEMP TABLE parts AS SELECT chunk, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS n FROM ({PIECES})", {"piece": PIECE})
+    tables.con.execute(
         """CREATE OR REPLACE TEMP TABLE fresh_pieces AS SELECT piece, encode(piece) AS token FROM (SELECT DISTINCT piece FROM parts) ANTI JOIN coded USING (piece)"""
     )
     # A piece that is a token is that token.
-    con.execute("INSERT INTO coded SELECT piece, [id] FROM fresh_pieces JOIN vocabulary USING (token)")
-    words = whole(arrow(con, "SELECT piece FROM fresh_pieces ANTI JOIN vocabulary USING (token)")["piece"])
+    tables.con.execute("INSERT INTO coded SELECT piece, [id] FROM fresh_pieces JOIN vocabulary USING (token)")
+    words = whole(arrow(tables.con, "SELECT piece FROM fresh_pieces ANTI JOIN vocabulary USING (token)")["piece"])
     for low, high in slices(_bytes_of(words)[0], BATCH_BYTES):
-        code_words(con, words.slice(low, high - low))
-    con.execute("INSERT INTO known SELECT chunk, flatten(list(ids ORDER BY n)) FROM parts JOIN coded USING (piece) GROUP BY chunk")
-    # Chunks in order, each with the place of its ids: lists are put together in Arrow.
-    known = whole(arrow(con, "SELECT ids FROM known ORDER BY rowid")["ids"])
-    found = arrow(con, "SELECT row, k.place FROM chunks JOIN (SELECT chunk, row_number() OVER (ORDER BY rowid) - 1 AS place FROM known) k USING (chunk) ORDER BY row, n")
-    row, lists = found["row"].to_numpy(), known.take(whole(found["place"]))
+        code_words(tables, words.slice(low, high - low))
+    tables.con.execute("INSERT INTO known SELECT chunk, flatten(list(ids ORDER BY n)) FROM parts JOIN coded USING (piece) GROUP BY chunk")
+    # Every chunk with the place of its ids: lists are put together in Arrow, in the chunks' order.
+    known = whole(arrow(tables.con, "SELECT ids FROM known ORDER BY rowid")["ids"])
+    found = arrow(tables.con, "SELECT c.rowid AS at, c.row, k.rowid AS place FROM chunks c JOIN known k USING (chunk)")
+    order = np.argsort(found["at"].to_numpy(), kind="stable")
+    places = arrow(tables.con, "SELECT rowid AS place FROM known ORDER BY rowid")["place"].to_numpy()
+    row, lists = found["row"].to_numpy()[order], known.take(pa.array(np.searchsorted(places, found["place"].to_numpy()[order])))
     if len(known) > KNOWN:
-        con.execute("DELETE FROM known")
-        con.execute("DELETE FROM coded")
+        tables.con.execute("DELETE FROM known")
+        tables.con.execute("DELETE FROM coded")
     size = np.bincount(row, weights=pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False), minlength=len(texts))
     offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), lists.flatten())
 
 
-def encode_long(con: duckdb.DuckDBPyConnection, text: str) -> pa.Array:
+def encode_long(tables: Tables, text: str) -> pa.Array:
     """Token ids of one text of any length, cut where white space begins behind a word: no piece reaches over that."""
     parts, at = [], 0
     while at < len(text):
         cut = _BORDER.search(text, at + SLICE_BYTES // 4)
         until = cut.start() if cut else len(text)
-        parts.append(encode_slice(con, pa.array([text[at:until]], pa.large_string())).flatten())
+        parts.append(encode_slice(tables, pa.array([text[at:until]], pa.large_string())).flatten())
         at = until
     return pa.ListArray.from_arrays(pa.array([0, sum(map(len, parts))], pa.int32()), pa.concat_arrays(parts))
 
@@ -298,16 +328,16 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", ids: str
     column = fresh(rest, "_text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = None
+        tables = None
         for batch in batches:
-            con = con or open_tables(lines, True)
+            tables = tables or open_tables(lines, True)
             texts = batch.column(batch.num_columns - 1).cast(pa.large_string())
             size = pa.compute.binary_length(texts).to_numpy(zero_copy_only=False)
             for low, high in slices(size, SLICE_BYTES):
                 if size[low] > SLICE_BYTES:
-                    found = encode_long(con, texts[low].as_py())
+                    found = encode_long(tables, texts[low].as_py())
                 else:
-                    found = encode_slice(con, texts.slice(low, high - low))
+                    found = encode_slice(tables, texts.slice(low, high - low))
                 if found.flatten().to_numpy().min(initial=0) < 0:
                     raise ValueError("the vocabulary lacks a byte")
                 held = batch.slice(low, high - low)
@@ -330,7 +360,7 @@ def decode_ids(rows: DataFrame, vocabulary: str, ids: str = "token_ids", decoded
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         con = None
         for batch in batches:
-            con = con or open_tables(lines, False)
+            con = con or open_tables(lines, False).con
             lists = batch.column(batch.num_columns - 1)
             size = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
             for low, high in slices(size, SLICE_BYTES // 4):
