@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,10 +118,11 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # Neighbouring rows share the first text: its set is made once.
-            a = batch.column(0).to_numpy()
-            fresh = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, dtype=np.int64)
-            firsts = shingle_sets(batch.column(2).take(pa.array(fresh)))
+            # Neighbouring rows mostly share the first text: its set is made once. An id may have several texts.
+            first = batch.column(2)
+            other = pc.not_equal(first[1:], first[:-1]).to_numpy(zero_copy_only=False) if len(first) > 1 else np.zeros(0, dtype=bool)
+            fresh = np.flatnonzero(np.append(True, other)) if len(first) else np.zeros(0, dtype=np.int64)
+            firsts = shingle_sets(first.take(pa.array(fresh)))
             begins = set(fresh.tolist())
             keep, one = [], np.zeros(0, dtype=np.uint64)
             for i, other in enumerate(shingle_sets(batch.column(3))):
@@ -161,7 +163,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         )
 
     first = settle(plausible(met), "pairs")
-    links = settle(confirm(first, named), "links")
+    # An id with several texts ties their classes together.
+    several = signed.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in ("h1", "h2") for f in (F.min, F.max)))
+    several = several.where("min_h1 != max_h1 or min_h2 != max_h2").select("doc_id")
+    reps = signed.join(several, "doc_id", "left_semi").join(classes.select("h1", "h2", "n", "rep"), ["h1", "h2", "n"]).select("doc_id", "rep").distinct()
+    least = reps.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    tied = reps.join(least, "doc_id").where("rep != a").select("a", F.col("rep").alias("b"))
+    links = settle(confirm(first, named).unionByName(tied), "links")
     part = components(links, "a", "b")
     # Buckets that still hold several components: every pair between two of these is a candidate.
     placed = (
@@ -183,7 +191,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         more = settle(confirm(second, named), "links")
         part = components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "a", "b")
     grouped = classes.select("h1", "h2", "n", "rep").join(part.withColumnRenamed("node", "rep"), "rep", "left")
-    # Rows that share an id meet through their classes' smallest ids.
     grouped = grouped.select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
     return (
         signed.select("doc_id", "h1", "h2", "n")
