@@ -26,7 +26,7 @@ RUN = 5_000  # segments that are sorted in memory at once
 LAST = 2**63 - 1  # stands for a null id: after all others
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-MARK = "kind int, anchor long, doc long, tag int, lo int, n int"
+MARK = "kind int, anchor long, doc long, tag binary, lo int, n int"
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
@@ -138,7 +138,7 @@ def _emit(kind: int, anchor, doc, tag, lo, n) -> pa.RecordBatch:
             pa.array(np.full(len(doc), kind, dtype=np.int32)),
             pa.array(np.asarray(anchor, dtype=np.int64)),
             pa.array(np.asarray(doc, dtype=np.int64)),
-            pa.array(np.asarray(tag, dtype=np.int32)),
+            tag.cast(pa.binary()),
             pa.array(np.asarray(lo, dtype=np.int32)),
             pa.array(np.asarray(n, dtype=np.int32)),
         ],
@@ -147,20 +147,21 @@ def _emit(kind: int, anchor, doc, tag, lo, n) -> pa.RecordBatch:
 
 
 def find_segments(docs: DataFrame) -> DataFrame:
-    """doc, tag, text -> anchor, content, doc, place; place orders by first window and carries windows and tag."""
+    """doc, tag, text -> anchor, content, doc, place, tag; place orders by first window and carries the windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            tags = batch.column(1).to_numpy().astype(np.int64)
+            tags = batch.column(1)
             for row, data, offsets in chunks(batch.column(2)):
                 doc, lo, n, anchor, content = segments(data, offsets)
-                place = lo << 32 | n << 24 | tags[row + doc]
+                place = lo << 8 | n
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor), pa.array(content), pa.array(ids[row + doc]), pa.array(place)], ["anchor", "content", "doc", "place"]
+                    [pa.array(anchor), pa.array(content), pa.array(ids[row + doc]), pa.array(place), tags.take(pa.array(row + doc))],
+                    ["anchor", "content", "doc", "place", "tag"],
                 )
 
-    return docs.mapInArrow(run, "anchor long, content long, doc long, place long")
+    return docs.mapInArrow(run, "anchor long, content long, doc long, place long, tag binary")
 
 
 def compare_segments(found: DataFrame) -> DataFrame:
@@ -175,8 +176,8 @@ def compare_segments(found: DataFrame) -> DataFrame:
             new_anchor = np.append(last is None or last[0] != anchor[0], anchor[1:] != anchor[:-1])
             new = new_anchor | np.append(last is None or last[1] != content[0], content[1:] != content[:-1])
 
-            def rows(kind: int, at: np.ndarray, a=anchor, d=doc, p=place) -> pa.RecordBatch:
-                return _emit(kind, a[at], d[at], p[at] & 0xFFFFFF, p[at] >> 32, p[at] >> 24 & 0xFF)
+            def rows(kind: int, at: np.ndarray, a=anchor, d=doc, p=place, t=batch.column(4)) -> pa.RecordBatch:
+                return _emit(kind, a[at], d[at], t.take(pa.array(at)), p[at] >> 8, p[at] & 0xFF)
 
             yield rows(0, np.flatnonzero(~new))
             first = np.flatnonzero(new)
@@ -192,7 +193,7 @@ def compare_segments(found: DataFrame) -> DataFrame:
                     waiting = rows(1, first[-1:])
             last = anchor[-1], content[-1]
 
-    return found.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "place").mapInArrow(run, MARK)
+    return found.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "place", "tag").mapInArrow(run, MARK)
 
 
 def compare_windows(pieces: DataFrame) -> DataFrame:
@@ -220,7 +221,8 @@ def compare_windows(pieces: DataFrame) -> DataFrame:
     def sorted_run(batch: pa.RecordBatch, broken: set) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             return
-        anchor, doc, tag, lo, n = (batch.column(i).to_numpy().astype(np.int64) for i in range(5))
+        anchor, doc, lo, n = (batch.column(i).to_numpy().astype(np.int64) for i in (0, 1, 3, 4))
+        tag = batch.column(2)
         piece = batch.column(5).cast(pa.large_binary())
         _, where, data = piece.buffers()
         offsets = np.frombuffer(where, dtype=np.int64)[piece.offset : piece.offset + len(piece) + 1]
@@ -246,11 +248,11 @@ def compare_windows(pieces: DataFrame) -> DataFrame:
             first = hit[breaks]
             size = np.diff(np.append(np.flatnonzero(breaks), len(hit)))
             o = owner[first]
-            yield _emit(0, anchor[o], doc[o], tag[o], lo[o] + step[first], size)
+            yield _emit(0, anchor[o], doc[o], tag.take(pa.array(o)), lo[o] + step[first], size)
         parted = np.flatnonzero(np.isin(anchor[owner], [b for b in broken if b is not None]) & ~repeated)
         if len(parted):
             o = owner[parted]
-            yield _emit(2, window[parted].view(np.int64), doc[o], tag[o], lo[o] + step[parted], np.ones(len(o)))
+            yield _emit(2, window[parted].view(np.int64), doc[o], tag.take(pa.array(o)), lo[o] + step[parted], np.ones(len(o)))
 
     ordered = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc", "lo", "tag")
     return ordered.select("anchor", "doc", "tag", "lo", "n", "piece").mapInArrow(run, MARK)
@@ -293,14 +295,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """doc_id, n_bytes, n_removed, n_spans, kept: one row per row of `docs`.
 
     Null text is empty. Null ids come after all others and are one document, like all rows that share an id: between
-    their texts the earlier start counts, then a hash of the text. Rows equal in id and text get one result, as
+    their texts the earlier start counts, then a 128-bit digest of the text, which also tells them apart. Rows equal in id and text get one result, as
     if they stood there once. Texts of fewer than LEAST bytes stay whole; an empty table gives no rows.
     Other columns are ignored.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"),
-        F.xxhash64(whole).bitwiseAND(F.lit(0xFFFFFF)).cast("int").alias("tag"),
+        F.unhex(F.md5(whole)).alias("tag"),
         whole.alias("text"),
     )
     # Rows equal in id and text would repeat themselves and double the pieces; only the cut sees all of them.
