@@ -90,8 +90,8 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps:
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled: int = 12000) -> QualityModel | None:
     """Model from documents (doc_id, text, held_out) and labels (doc_id, quality) outside the held-out fold.
 
-    `positives` and `unlabelled` bound the rows that are fitted (those first by a hash of their id, so a rerun
-    takes the same); the prior is the share of positives among all labels of the learning folds, kept off
+    `positives` and `unlabelled` bound the rows that are fitted (those first by a hash of their id, then of their
+    text, so a rerun takes the same; rows that repeat both count once); the prior is the share of positives among all labels of the learning folds, kept off
     0 and 1. None where there is no positive.
     """
     learning = docs.where(~F.col("held_out"))
@@ -107,14 +107,17 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 6000, unlabelled: i
     def vector(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: features(t).tobytes())
 
-    def rows(ids: DataFrame, most: int) -> np.ndarray:
-        # Ids first, texts of the few chosen ones after.
-        chosen = F.broadcast(ids.select("doc_id").orderBy(order, "doc_id").limit(most))
-        texts = learning.join(chosen, "doc_id", "left_semi").select("doc_id", vector("text").alias("v"))
-        got = sorted((r["doc_id"], bytes(r["v"])) for r in texts.collect())
-        return np.frombuffer(b"".join(v for _, v in got)).reshape(-1, WIDTH)
+    learning = learning.where("doc_id is not null").withColumn("_t", F.xxhash64("text"))
 
-    p, u = rows(known.where("quality = 1"), positives), rows(learning.where("doc_id is not null"), unlabelled)
+    def rows(ids: DataFrame, most: int) -> np.ndarray:
+        # Ids and text hashes first, texts of the few chosen ones after; rows equal in both are one.
+        given = learning.select("doc_id", "_t").join(ids.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "_t"])
+        chosen = F.broadcast(given.orderBy(order, "doc_id", "_t").limit(most))
+        texts = learning.join(chosen, ["doc_id", "_t"], "left_semi").dropDuplicates(["doc_id", "_t"]).select("doc_id", "_t", vector("text").alias("v"))
+        got = sorted((r["doc_id"], r["_t"], bytes(r["v"])) for r in texts.collect())
+        return np.frombuffer(b"".join(v for _, _, v in got)).reshape(-1, WIDTH)
+
+    p, u = rows(known.where("quality = 1"), positives), rows(learning, unlabelled)
     return fit_nnpu(p, u, prior) if len(p) and len(u) else None
 
 
