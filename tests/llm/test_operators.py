@@ -67,6 +67,24 @@ def test_near_duplicates_against_brute_force(spark, sf_dir):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_near(rows)
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(100)) for c in "ab")
+    rows = [(1, a), (1, b), (2, f"{a} z"), (3, f"{b} z"), (4, " ".join(f"c{i}" for i in range(9))), (0, b)]
+    found = [(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(docs(spark, [(*r, None, None, None) for r in rows])).collect()]
+    assert sorted(found) == [(0, 0), (1, 0), (1, 0), (2, 0), (3, 0), (4, 4)]
+
+
+def test_bounds_of_the_quality_fit_hold_for_repeated_ids(spark, monkeypatch):
+    rows = [(1, f"good text number {i % 50}.", None, None, None) for i in range(300)] + [(i, f"other {i}", None, None, None) for i in range(2, 90)]
+    sizes = []
+    monkeypatch.setattr(quality, "fit_nnpu", lambda p, u, prior: sizes.append((len(p), len(u))))
+    given = docs(spark, rows).select("doc_id", "text", F.lit(False).alias("held_out"))
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(1, 90)], "doc_id long, quality int")
+    quality.fit(given, labels, positives=10, unlabelled=20)
+    quality.fit(given, labels, positives=1000, unlabelled=1000)
+    assert sizes[0] == (10, 20) and sizes[1][1] == 50 + 88
+
+
 def test_near_duplicate_chain_of_edits(spark):
     words = [f"w{i}" for i in range(200)]
     rows = []
@@ -108,6 +126,28 @@ def test_repeats_across_runs_and_in_periodic_text(spark, monkeypatch):
     assert {i: tuple(r)[1:] for i, r in ((i, (r["doc_id"], *[r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])) for i, r in found.items())} == brute_removal([r[:2] for r in rows])
 
 
+def test_texts_of_one_id_keep_their_own_spans(spark):
+    # Two texts of one id whose 64-bit digests end in the same 24 bits: only one of them repeats anything.
+    import xxhash
+
+    passage = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(4))
+    seen, pair = {}, None
+    for i in range(1_000_000):
+        text = "".join(hashlib.md5(f"{i}-{k}".encode()).hexdigest() for k in range(9)) if i % 2 else f"{i}{passage}"
+        tail = xxhash.xxh64_intdigest(text.encode(), seed=42) & 0xFFFFFF
+        if seen.get(tail, i) % 2 != i % 2:
+            other = seen[tail]
+            pair = [text, "".join(hashlib.md5(f"{other}-{k}".encode()).hexdigest() for k in range(9)) if other % 2 else f"{other}{passage}"]
+            break
+        seen[tail] = i
+    assert pair
+    repeating, alone = sorted(pair, key=lambda t: passage not in t)
+    for ids in ((1, 2, 2), (1, None, None)):
+        rows = [(i, t, None, None, None) for i, t in zip(ids, (passage, repeating, alone))]
+        found = {(r["doc_id"], r["n_bytes"]): r["n_removed"] for r in suffix_dedup.removal_digest(suffix_dedup.remove_repeats(docs(spark, rows))).collect()}
+        assert found[ids[1], len(repeating)] == len(passage) and found[ids[2], len(alone)] == 0
+
+
 def test_repeated_rows_count_once_for_repeats(spark):
     passage = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(4))
     # Equal segments, and segments that share an anchor with others, in rows that stand there up to three times.
@@ -267,7 +307,28 @@ def test_pipeline_stages(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in now.collect()}
     assert len(set(texts.values())) == len(texts)
     final = corpus_pipeline.STAGES[-1][1](spark, now, sf_dir).collect()
-    assert {r["doc_id"] for r in final} == set(texts)
+    assert {r["doc_id"]: r["text"] for r in final} == texts
     odd = docs(spark)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, sf_dir).count() > 0, name
+        assert stage(spark, odd.limit(0), sf_dir).count() == 0, name
+
+
+def test_pipeline_stages_judge_rows_by_their_own_text(spark, sf_dir):
+    import corpus_pipeline
+
+    item = max((r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()), key=len)
+    clean = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    rows = [(None, item), (None, clean[0]), (7, item), (7, clean[1]), (8, clean[1]), (None, clean[1]), (None, clean[2]), (None, clean[2]), (9, None)]
+    given = docs(spark, [(*r, "s", "en", 1) for r in rows])
+    left = corpus_pipeline.decontamination_stage(spark, given, sf_dir).select("doc_id", "text").collect()
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, [r for r in rows if r[1] != item]))
+    left = corpus_pipeline.near_duplicate_stage(spark, given, sf_dir).select("doc_id", "text").collect()
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, [(7, item), (None, clean[0]), (7, clean[1]), (None, clean[2]), (9, None)]))
+
+
+@pytest.mark.parametrize("weight", [0.05, 1.0, 0.001, 30.0])
+def test_no_cell_of_keys_is_crowded(spark, weight):
+    keys = spark.range(20_000).select((-F.log(F.rand(5)) / weight).alias("key"))
+    cells = keys.select(mixing.key_cell(F.col("key"), 4096).alias("cell"), "key").groupBy("cell").agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("cell").collect()
+    assert max(r["n"] for r in cells) < 400 and all(a["hi"] <= b["lo"] for a, b in zip(cells, cells[1:]))

@@ -56,6 +56,16 @@ def source_targets(sizes: DataFrame, budget: float = 1.5, most: float = 2.0, cyc
     )
 
 
+def key_cell(key: Column, cells: int) -> Column:
+    """A number of 0 to cells - 1 that rises with the key.
+
+    The mean of the exponential distributions at thirteen scales, four times apart: whatever weight the rows
+    of a source have, it is within twofold of some scale's, so no cell holds more than a small share of them.
+    """
+    scales = [4.0**i for i in range(-4, 9)]
+    return F.least(F.lit(cells - 1), F.floor(sum(1 - F.exp(-key / s) for s in scales) / len(scales) * cells)).cast("int")
+
+
 def mix_documents(
     docs: DataFrame,
     budget: float = 1.5,
@@ -66,9 +76,12 @@ def mix_documents(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, epochs (times taken), taken (words): one row per input row.
 
+    `keep` names columns of the input that come along, the text for instance.
+
     Of the document where the budget ends, the part that is left is taken. Size is the number of words;
     null or empty text has none and is taken for nothing. Rows of null source are a source. Rows with the same id get
     the same key and come in order of size; equal rows share what is left of the budget as if they stood
@@ -83,9 +96,9 @@ def mix_documents(
             F.col(source).cast("string").alias("source"),
             size.alias("size"),
             (-F.log(u) / (word_length_weight(F.length(text), size) if quality is None else quality)).alias("key"),
+            *[F.col(f"`{c}`") for c in keep],
         )
-        # A fixed increasing function of the key: most cells hold about as many rows.
-        .withColumn("cell", F.floor((1 - F.exp(-F.col("key"))) * cells).cast("int")),
+        .withColumn("cell", key_cell(F.col("key"), cells)),
         "mix",
     )
     per_cell = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
@@ -132,4 +145,5 @@ def mix_documents(
         "target",
         F.when(F.col("size") > 0, F.col("epochs") + (F.col("part") > 0).cast("long")).otherwise(0).alias("epochs"),
         (F.col("size") * F.col("epochs") + F.col("part")).cast("long").alias("taken"),
+        *[F.col(f"`{c}`") for c in keep],
     )
