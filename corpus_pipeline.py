@@ -18,13 +18,24 @@ from tidemark.session import settle
 ORACLE_SQL = None
 
 
-def without(docs: DataFrame, flags: DataFrame, flag: str) -> DataFrame:
-    """Rows of `docs` but for those whose id has `flag` somewhere; rows without an id stay."""
-    gone = flags.where(F.col(flag)).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written, and the name of a column that numbers them: ids may be null or stand for several texts."""
+    name = fresh(docs, "_row")
+    return settle(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
+def named_by(docs: DataFrame, row: str) -> DataFrame:
+    """The texts under their row numbers, as the operators take them."""
+    return docs.select(F.col(row).alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """Rows of `docs` whose number is not among the doc_id of `gone`."""
+    return docs.join(gone.select(F.col("doc_id").alias(row)), row, "left_anti").drop(row)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text scores below one half go, each scored by its own text; null and empty texts score alike."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     known = docs.select("doc_id", "text", held_out("doc_id", 3, 1).alias("held_out"))
     name = fresh(docs, "_quality")
@@ -33,15 +44,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs).withColumn("copy", ~F.col("kept"))
-    left = without(docs, found, "copy")
-    # Rows that share an id are one document.
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    """Of every group of near copies the row of the smallest id stays, null last; ties: the row read first.
+
+    Rows are judged by their own text, whatever their id. Texts without a word have no copies and stay.
+    """
+    rows, row = numbered(docs)
+    found = minhash.near_duplicates(named_by(rows, row)).select(F.col("doc_id").alias(row), "component_id")
+    grouped = rows.select(row, "doc_id").join(found, row)
+    first = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first"))
+    stays = first.select(F.col(f"first.{row}").alias(row))
+    return rows.join(stays, row, "left_semi").drop(row)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found, "contaminated")
+    """Rows whose text holds a benchmark window go, each judged by its own text; null text stays."""
+    rows, row = numbered(docs)
+    found = decontaminate.contamination(named_by(rows, row), table(spark, sf_dir, "benchmark"))
+    return without(rows, row, found.where("contaminated"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +72,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix_documents(docs)
+    """Every row with its text, how often it is taken (epochs) and how many words that makes (taken); see mix_documents."""
+    return mixing.mix_documents(docs, keep=("text",))
 
 
 STAGES = [
