@@ -148,3 +148,50 @@ def test_year_filter_reaches_the_scan(spark, sf_dir):
 def test_first_per_key_prunes_before_the_shuffle(spark, sf_dir):
     text = plan_text(spark_entry.queries()["dedup_first"](spark, sf_dir))
     assert text.count("WindowGroupLimit") == 2
+
+
+def _brute_interval(rows, metric, replicates, spare):
+    import numpy as np
+
+    from tidemark.operators import ranking, resample
+
+    ids = [f"42#{i}" for i, _, _ in rows]
+    import hashlib
+
+    keys = np.array([[int(hashlib.md5(t.encode()).hexdigest()[7 * k : 7 * k + 7], 16) for k in range(3)] for t in ids])
+    y, score = (np.array([r[k] for r in rows], dtype=float) for k in (1, 2))
+    values = []
+    for b in range(1, replicates * spare + 1):
+        w = resample.poisson_weights(ranking.POISSON_STEPS, *keys.T, np.array([b]))[:, 0]
+        if len(values) == replicates or not (w * y).sum():
+            continue
+        cuts = sorted(set(score[w > 0]), reverse=True)
+        n, pos = (np.array([(v * w)[score == c].sum() for c in cuts]) for v in (np.ones(len(y)), y))
+        n_ge, tp = np.cumsum(n), np.cumsum(pos)
+        if metric == "average_precision":
+            values.append((pos * tp / n_ge).sum() / tp[-1])
+        elif metric == "precision_at_10":
+            values.append((pos * np.clip(10 - n_ge + n, 0, n) / n).sum() / min(10, n_ge[-1]))
+        elif n_ge[-1] > tp[-1]:
+            neg = n - pos
+            below = neg.sum() - np.cumsum(neg)
+            values.append((pos * (below + neg / 2)).sum() / (tp[-1] * neg.sum()))
+    return np.mean(values), np.std(values), *np.quantile(values, [0.05, 0.95]), len(values)
+
+
+@pytest.mark.parametrize("metric", ["average_precision", "roc_auc", "precision_at_10"])
+def test_resampled_intervals_against_brute_force(spark, metric):
+    """A score that a third of the rows share, a group with a single positive (many void draws) and one without."""
+    from tidemark.operators import ranking
+
+    groups = {
+        "a": [(i, int(i % 7 == 0), 0.5 if i % 3 == 0 else (i * 37 % 101) / 101) for i in range(600)],
+        "b": [(i, int(i == 3), (i * 11 % 13) / 13) for i in range(700, 740)] + [(3, 1, 0.4)],
+        "c": [(i, 0, i / 100) for i in range(800, 830)],
+    }
+    frame = spark.createDataFrame([(g, *r) for g, rows in groups.items() for r in rows], "g string, id long, y int, score double").repartition(6)
+    found = {r["g"]: r for r in ranking.bootstrap_interval(frame, ["g"], metric=metric, replicates=20).collect()}
+    for g in "ab":
+        want = _brute_interval(groups[g], metric, 20, 20)
+        assert tuple(found[g][c] for c in ("mean", "sd", "low", "high", "n_valid")) == pytest.approx(want), g
+    assert found["c"]["n_valid"] is None

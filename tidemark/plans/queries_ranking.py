@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import ranking
+from tidemark.operators import ranking, resample
 from tidemark.plans.registry import query, rounded
 from tidemark.sources.tables import table
 
@@ -84,11 +84,24 @@ def precision_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_REPLICATES = 50
-_DRAWS = f"""u AS (SELECT model, fold, score, y, b, CAST(concat('0x', substr(md5(concat_ws('#', '42', b, id)), 1, 8))
-    AS BIGINT) / 4294967296.0::DOUBLE AS u FROM s, range(1, {_REPLICATES + 1}) AS r(b)),
-  w AS (SELECT model, fold, b, score, y, {" + ".join(
-      f"CAST(u >= {step:.17e} AS INTEGER)" for step in ranking.POISSON_STEPS)} AS w FROM u),
+_REPLICATES, _SPARE = 1000, 20
+_WEIGHT = " + ".join(f"CAST(u >= {step:.17e} AS INTEGER)" for step in ranking.POISSON_STEPS)
+
+
+def _drawn(rows: str, candidates: str) -> str:
+    """Rows with their weight in every candidate replicate that the second table names."""
+    return f"""SELECT model, fold, b, score, y, {_WEIGHT} AS w FROM (
+      SELECT *, {resample.sql_uniform("h1", "h2", "h3", "b")} AS u FROM {rows} JOIN {candidates} USING (model, fold))"""
+
+
+# Candidates without a positive are passed over: the first thousand with one are the replicates.
+_DRAWS = f"""k AS (SELECT *, CAST('0x' || substr(m, 1, 7) AS BIGINT) AS h1, CAST('0x' || substr(m, 8, 7) AS BIGINT) AS h2,
+    CAST('0x' || substr(m, 15, 7) AS BIGINT) AS h3 FROM (SELECT *, md5(concat_ws('#', '42', id)) AS m FROM s)),
+  kp AS (SELECT * FROM k WHERE y = 1),
+  all_b AS (SELECT model, fold, b FROM (SELECT DISTINCT model, fold FROM kp), range(1, {_REPLICATES * _SPARE} + 1) AS r(b)),
+  valid AS (SELECT model, fold, b FROM ({_drawn("kp", "all_b")}) GROUP BY 1, 2, 3 HAVING sum(w) > 0
+    QUALIFY row_number() OVER (PARTITION BY model, fold ORDER BY b) <= {_REPLICATES}),
+  w AS ({_drawn("k", "valid")}),
   bd AS (SELECT model, fold, b, score, sum(w) AS n, sum(w * y) AS pos FROM w GROUP BY ALL HAVING sum(w) > 0),
   bt AS (SELECT *, sum(n) OVER o AS n_ge, sum(pos) OVER o AS tp, sum(pos) OVER (PARTITION BY model, fold, b) AS n_pos
     FROM bd WINDOW o AS (PARTITION BY model, fold, b ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
