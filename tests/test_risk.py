@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from unittest.mock import MagicMock
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tidemark.operators import ranking, risk
+from tidemark.operators import logit, ranking, resample, risk
 from tidemark.operators.folds import expanding_folds, in_fold
 from tidemark.plans import all_queries, medallion
 from tidemark.session import settle, work_folder
@@ -82,8 +83,13 @@ def test_perceptron_finds_the_signal(spark, sides):
 
 
 def test_tuning_reports_every_trial(spark, sides):
-    got = risk.tune_boosted(sides[0], trials=2, max_iter=(2, 3)).collect()
-    assert [r["trial"] for r in got] == [1, 2] and all(0 <= r["average_precision"] <= 1 for r in got)
+    tuned = risk.tune_boosted(sides[0], trials=4, max_iter=(2, 5), depth=(2, 3))
+    got = tuned.collect()
+    assert [r["trial"] for r in got] == [1, 2, 3, 4] and all(0 <= r["average_precision"] <= 1 for r in got)
+    # A third goes on to the second rung; the winner comes from there.
+    assert sorted(r["rounds"] for r in got) == [2, 2, 5, 5] and all(1 <= r["iterations"] <= r["rounds"] for r in got)
+    best = risk.best_settings(tuned)
+    assert best["maxIter"] in [r["iterations"] for r in got if r["rounds"] == 5]
 
 
 def test_tuning_needs_a_positive(spark, sides):
@@ -98,11 +104,82 @@ def test_significance_paths(spark, sides):
     assert {r["method"] for r in classic} == {"classic"}
     night = next(r for r in classic if r["feature"] == "turno_abertura=noite")
     assert night["p_value"] < 0.01 and night["low"] < night["coef"] < night["high"]
-    marked = sides[0].withColumn("produto", F.when(F.col("target") == 0, F.lit("so_negativos")))
-    drawn = risk.logit_significance(
-        marked, "target", categories=["produto"], numbers=["fim_de_semana"], row_id="numero", replicates=4
-    ).collect()
-    assert {r["method"] for r in drawn} == {"bootstrap"} and all(0 <= r["p_value"] <= 1 for r in drawn)
+    assert classic[0]["feature"] == "const"
+    marked = sides[0].withColumn("produto", F.when(F.col("target") == 0, F.lit("so_negativos"))).withColumn("dobro", F.col("fim_de_semana") * 2)
+    given = {"categories": ["produto"], "numbers": ["fim_de_semana", "dobro"], "row_id": "numero"}
+    ridge = {r["feature"]: r["method"] for r in risk.logit_significance(marked, "target", **given).collect()}
+    assert ridge == {"const": "regularised", "produto=so_negativos": "regularised", "fim_de_semana": "regularised", "dobro": "collinear"}
+    drawn = risk.logit_significance(marked, "target", **given, replicates=4, first="bootstrap").collect()
+    assert {r["method"] for r in drawn} == {"bootstrap", "collinear"}
+    assert all(0 <= r["p_value"] <= 1 and r["low"] <= r["coef"] <= r["high"] for r in drawn if r["method"] == "bootstrap")
+
+
+def newton(x, y, w, penalty):
+    beta = np.zeros(x.shape[1])
+    ridge = np.full(len(beta), penalty)
+    ridge[0] = 0
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ beta))
+        h = (x * (w * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        beta = beta + np.linalg.solve(h, x.T @ (w * (y - p)) - ridge * beta)
+    return beta, h
+
+
+def test_replicates_are_fitted_as_one_by_one(spark):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.ones(400), rng.normal(size=(400, 2))])
+    y = (rng.random(400) < 1 / (1 + np.exp(1 - x[:, 1]))).astype(int)
+    rows = spark.createDataFrame([(int(b), a.tolist(), i) for i, (a, b) in enumerate(zip(x, y))], "y int, x array<double>, id long")
+    rows = settle(rows.repartition(5).select("y", "x", *[c.alias(k) for k, c in resample.draw_keys(F.col("id"), 42).items()]), "given")
+    numbers = logit.drawn_replicates(rows, 6, 10)
+    assert numbers.tolist() == [1, 2, 3, 4, 5, 6]
+    got = logit.fit(rows, [0, 1, 2], penalty=1.0, replicates=numbers)
+    keys = rows.select("x", "y", *resample.KEYS).toPandas()
+    xs, ys = np.stack(keys["x"].to_numpy()), keys["y"].to_numpy()
+    w = resample.poisson_weights(ranking.POISSON_STEPS, *(keys[k].to_numpy() for k in resample.KEYS), numbers)
+    assert got.settled.all() and 0.9 < w.mean() < 1.1
+    for i in range(len(numbers)):
+        assert got.coef[i] == pytest.approx(newton(xs, ys, w[:, i], 1.0)[0], abs=1e-7)
+    plain = logit.fit(rows, [0, 1, 2])
+    beta, h = newton(xs, ys, np.ones(400), 0.0)
+    assert plain.coef[0] == pytest.approx(beta, abs=1e-7)
+    assert logit.standard_errors(plain.information) == pytest.approx(np.sqrt(np.diag(np.linalg.inv(h))), abs=1e-7)
+    with pytest.raises(ValueError, match="one class"):
+        logit.summarise(rows.where("y = 1"), ["const", "a", "b"])
+
+
+def test_dependent_columns_are_named():
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=(2, 50))
+    x = np.column_stack([np.ones(50), a, np.full(50, 3.0), b, a - 2 * b + 1, np.zeros(50)])
+    assert logit.dependent_columns(x.T @ x) == {2: "constant", 4: "collinear", 5: "constant"}
+
+
+def test_staged_scores_are_those_of_shorter_ensembles(spark, sides):
+    inputs, matrix = risk.tree_matrix(sides[0])
+    models = {1: risk.fit_trees(matrix, maxIter=5, maxDepth=3), 2: risk.fit_trees(matrix, maxIter=3, maxDepth=2)}
+    held = inputs.features(sides[1], "numero").select("numero", "features", risk.vector_to_array("features").alias("x"))
+    got = {(r["trial"], r["iterations"], r["numero"]): r["score"] for r in risk.staged_scores(held, models, [2, 3, 5], ["numero"]).collect()}
+    assert {k[:2] for k in got} == {(1, 2), (1, 3), (1, 5), (2, 2), (2, 3)}
+    whole = models[1].transform(held).select("numero", risk.positive_probability().alias("p")).collect()
+    assert all(r["p"] == pytest.approx(1 / (1 + math.exp(-2 * got[1, 5, r["numero"]]))) for r in whole)
+    # A boosted model of fewer rounds is a prefix of the longer one.
+    short = risk.fit_trees(matrix, maxIter=2, maxDepth=3).transform(held).select("numero", risk.positive_probability().alias("p")).collect()
+    assert all(r["p"] == pytest.approx(1 / (1 + math.exp(-2 * got[1, 2, r["numero"]]))) for r in short)
+
+
+def test_stored_boosted_model_scores_alike(spark, sides):
+    model = risk.fit_boosted(sides[0], maxIter=3, maxDepth=2)
+    path = work_folder(spark, "boosted")
+    model.save(path)
+    again = risk.BoostedRiskModel.load(spark, path)
+    assert sorted(map(tuple, again.score(sides[1], ["target"]).collect())) == sorted(map(tuple, model.score(sides[1], ["target"]).collect()))
+
+
+def test_totals_of_parts_add_up(sides):
+    parts = [risk.encoding_totals(sides[0].where(F.col("numero") % 3 == i), risk.CATEGORICAL, "target") for i in range(3)]
+    whole = risk.encoding_totals(sides[0], risk.CATEGORICAL, "target")
+    assert sorted(map(tuple, risk.merge_totals(*parts).collect())) == sorted(map(tuple, whole.collect()))
 
 
 def test_unseen_category_is_all_zero(spark, sides):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import STOPWORDS_PT
-from tidemark.operators import causal, folds as fold_ops, profile
+from tidemark.operators import causal, folds as fold_ops, history, profile
 from tidemark.plans import medallion
 from tidemark.plans.registry import query, rounded, with_tickets
 from tidemark.session import work_folder
@@ -464,35 +464,34 @@ def risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- folds ---------------------------------------------------------------------------------------
 
-TICKET_FOLDS = fold_ops.expanding_folds("2024-01-01", min_train_weeks=1, test_weeks=1, n_folds=3)
+def ticket_folds(spark: SparkSession, sf_dir: str) -> list[fold_ops.Fold]:
+    """Three folds of one test week that end on the last observed day, trained from the first."""
+    return fold_ops.spanning_folds(*fold_ops.observed_span(tickets(spark, sf_dir), "aberto"), test_weeks=1)
 
 
-def _sql_folds(folds: list[fold_ops.Fold]) -> str:
-    rows = ", ".join(
-        f"({f.fold}, DATE '{f.train_start}', DATE '{f.train_end}', DATE '{f.test_start}', DATE '{f.test_end}')"
-        for f in folds
-    )
-    return f"f(fold, a, b, c, d) AS (VALUES {rows})"
+SQL_FOLDS = """span AS (SELECT min(CAST(aberto AS DATE)) AS lo, max(CAST(aberto AS DATE)) AS hi FROM tickets),
+f AS (SELECT i AS fold, lo AS a, CAST(hi - 7 * (4 - i) AS DATE) AS b, CAST(hi - 7 * (4 - i) + 1 AS DATE) AS c, CAST(hi - 7 * (3 - i) AS DATE) AS d
+  FROM span, (VALUES (1), (2), (3)) AS v(i))"""
 
 
 @query(
     "fold_assign",
     with_tickets(
-        f"""{_sql_folds(TICKET_FOLDS)}
+        f"""{SQL_FOLDS}
         SELECT numero, fold, 'train' AS side FROM tickets JOIN f ON CAST(aberto AS DATE) BETWEEN a AND b
         UNION ALL SELECT numero, fold, 'test' FROM tickets JOIN f ON CAST(aberto AS DATE) BETWEEN c AND d"""
     ),
 )
 def fold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold_ops.assign_folds(
-        tickets(spark, sf_dir).select("numero", "aberto"), time="aberto", folds=TICKET_FOLDS
+        tickets(spark, sf_dir).select("numero", "aberto"), time="aberto", folds=ticket_folds(spark, sf_dir)
     ).select("numero", "fold", "side")
 
 
 @query(
     "fold_assign_refbounds",
     with_tickets(
-        f"""{_sql_folds(TICKET_FOLDS)}
+        f"""{SQL_FOLDS}
         SELECT numero, fold, 'train' AS side FROM tickets JOIN f ON aberto BETWEEN a AND b
         UNION ALL SELECT numero, fold, 'test' FROM tickets JOIN f ON aberto BETWEEN c AND d"""
     ),
@@ -501,7 +500,7 @@ def fold_assign_refbounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold_ops.assign_folds(
         tickets(spark, sf_dir).select("numero", "aberto"),
         time="aberto",
-        folds=TICKET_FOLDS,
+        folds=ticket_folds(spark, sf_dir),
         reference_bounds=True,
     ).select("numero", "fold", "side")
 
@@ -584,6 +583,33 @@ def rolling_1h_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("numero", "n_last_hour")
 
 
+@query(
+    "history_batches",
+    with_tickets(
+        """SELECT numero, CASE WHEN grupo_designado IS NOT NULL THEN row_number() OVER (PARTITION BY grupo_designado ORDER BY aberto, numero) - 1 END AS n_prior,
+        CASE WHEN grupo_designado IS NOT NULL THEN round(date_diff('microsecond', lag(aberto) OVER (PARTITION BY grupo_designado
+          ORDER BY aberto, numero), aberto) / 3.6e9, 6) END AS hours,
+        CASE WHEN grupo_designado IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY grupo_designado
+          ORDER BY aberto RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) END AS n_last_hour FROM tickets"""
+    ),
+)
+def history_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count, gap and load of the last hour, worked out in three batches of days that only read what the ones before left."""
+    rows = tickets(spark, sf_dir).select("numero", "aberto", "grupo_designado")
+    first, last = fold_ops.observed_span(rows, "aberto")
+    third = (last - first).days // 3 + 1
+    part = F.floor(F.datediff(F.to_date("aberto"), F.lit(first)) / third)
+    past = history.empty_history(rows, key="grupo_designado", time="aberto")
+    done = []
+    for batch in range(3):
+        found, past = history.advance(
+            past, rows.where(part == batch), key="grupo_designado", time="aberto", tiebreak="numero",
+            count_out="n_prior", hours_out="hours", load_out="n_last_hour",
+        )
+        done.append(found.select("numero", "n_prior", rounded("hours").alias("hours"), "n_last_hour"))
+    return done[0].unionByName(done[1]).unionByName(done[2])
+
+
 def _sql_low_volume(where: str, minimum: int) -> str:
     return with_tickets(
         f"""SELECT numero, grupo_designado IS NOT NULL AND count(*) OVER (PARTITION BY grupo_designado) < {minimum}

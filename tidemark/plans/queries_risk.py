@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import causal, folds as fold_ops, profile, ranking, risk
+from tidemark.operators import causal, folds as fold_ops, logit, profile, ranking, risk
 from tidemark.plans import medallion
-from tidemark.plans.queries_layers import TICKET_FOLDS, YEAR, _sql_folds, sql_clean_text
+from tidemark.plans.queries_layers import SQL_FOLDS, YEAR, sql_clean_text, ticket_folds
 from tidemark.plans.queries_profile import _ELIGIBLE, _eligible
 from tidemark.plans.registry import query, rounded, with_tickets
 from tidemark.functions.text import clean_text
@@ -70,7 +72,7 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 @query(
     "baseline_rate",
     with_tickets(
-        f"""{_ELIGIBLE}, {_sql_folds(TICKET_FOLDS)},
+        f"""{_ELIGIBLE}, {SQL_FOLDS},
         tr AS (SELECT fold, prioridade, target FROM e JOIN f ON CAST(aberto AS DATE) BETWEEN a AND b),
         r AS (SELECT fold, prioridade, avg(target) AS rate FROM tr WHERE prioridade <> '2 - Alta' GROUP BY 1, 2),
         g AS (SELECT fold, avg(target) AS rate FROM tr GROUP BY 1)
@@ -80,7 +82,7 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 )
 def baseline_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _eligible(spark, sf_dir).select("numero", "aberto", "prioridade", "target")
-    split = fold_ops.assign_folds(rows, time="aberto", folds=TICKET_FOLDS)
+    split = fold_ops.assign_folds(rows, time="aberto", folds=ticket_folds(spark, sf_dir))
     # One priority is hidden from training, so the fall-back to the overall rate is exercised.
     train = split.where("side = 'train'").withColumn(
         "prioridade", F.when(F.col("prioridade") != "2 - Alta", F.col("prioridade"))
@@ -105,11 +107,11 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "standardise",
     with_tickets(
-        f"""{_ELIGIBLE}, {_sql_folds(TICKET_FOLDS[-1:])},
+        f"""{_ELIGIBLE}, {SQL_FOLDS},
         x AS (SELECT numero, aberto, duracao, hour(aberto) AS hora, CASE WHEN numero % 9 <> 0 THEN duracao % 60 END AS resto,
           7 AS fixo FROM e),
         s AS (SELECT avg(duracao) AS m1, stddev_pop(duracao) AS s1, avg(hora) AS m2, stddev_pop(hora) AS s2,
-          avg(resto) AS m3, stddev_pop(resto) AS s3 FROM x JOIN f ON CAST(aberto AS DATE) BETWEEN a AND b)
+          avg(resto) AS m3, stddev_pop(resto) AS s3 FROM x JOIN f ON fold = 3 AND CAST(aberto AS DATE) BETWEEN a AND b)
         SELECT numero, round((duracao - m1) / s1, 6) AS duracao, round((hora - m2) / s2, 6) AS hora,
           round((resto - m3) / s3, 6) AS resto, CAST(0 AS DOUBLE) AS fixo FROM x, s"""
     ),
@@ -124,7 +126,7 @@ def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
         "7 AS fixo",
     )
     columns = ["duracao", "hora", "resto", "fixo"]
-    train = rows.where(fold_ops.in_fold("aberto", TICKET_FOLDS[-1], "train"))
+    train = rows.where(fold_ops.in_fold("aberto", ticket_folds(spark, sf_dir)[-1], "train"))
     found = risk.standardise(train, rows, columns)
     return found.select("numero", *[rounded(c).alias(c) for c in columns])
 
@@ -193,7 +195,7 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("logit_folds")
 def logit_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     coefficients, scores = [], []
-    for fold in TICKET_FOLDS:
+    for fold in _spanning(spark, sf_dir):
         train, test = _fold_rows(spark, sf_dir, fold)
         model = risk.fit_logistic(train, "target")
         scores.append(model.score(test, "numero", ["target"]).withColumn("fold", F.lit(fold.fold)))
@@ -207,44 +209,119 @@ def logit_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_NEWTON_STEPS = 12
+_SUMS = ", ".join(f"sum((y - p) * x{i}) AS g{i}" for i in range(3)) + ", " + ", ".join(
+    f"sum(p * (1 - p) * x{i} * x{j}) AS h{i}{j}" for i in range(3) for j in range(i, 3)
+)
+_DET = "(h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02))"
+# The inverse of the symmetric three by three information, row by row.
+_INVERSE = {
+    (0, 0): "(h11 * h22 - h12 * h12)", (0, 1): "(h02 * h12 - h01 * h22)", (0, 2): "(h01 * h12 - h02 * h11)",
+    (1, 1): "(h00 * h22 - h02 * h02)", (1, 2): "(h01 * h02 - h00 * h12)", (2, 2): "(h00 * h11 - h01 * h01)",
+}
+
+
+def _step(i: int) -> str:
+    return "(" + " + ".join(f"{_INVERSE[min(i, j), max(i, j)]} * g{j}" for j in range(3)) + f") / {_DET}"
+
+
+@query(
+    "logit_newton",
+    with_tickets(
+        f"""RECURSIVE_MARK {_ELIGIBLE},
+        raw AS (SELECT target AS y, hour(aberto)::DOUBLE AS a, day(aberto)::DOUBLE AS b FROM e),
+        m AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM raw),
+        x AS (SELECT y, 1.0::DOUBLE AS x0, (a - ma) / sa AS x1, (b - mb) / sb AS x2 FROM raw, m),
+        newton(k, b0, b1, b2, v0, v1, v2) AS (
+          SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+          UNION ALL
+          SELECT k + 1, b0 + {_step(0)}, b1 + {_step(1)}, b2 + {_step(2)},
+            {", ".join(f"{_INVERSE[i, i]} / {_DET}" for i in range(3))} FROM (
+            SELECT k, b0, b1, b2, {_SUMS} FROM (
+              SELECT k, b0, b1, b2, x.*, 1 / (1 + exp(-(b0 * x0 + b1 * x1 + b2 * x2))) AS p FROM newton, x WHERE k < {_NEWTON_STEPS})
+            GROUP BY k, b0, b1, b2))
+        SELECT unnest(['const', 'hora', 'dia']) AS feature, round(unnest([b0, b1, b2]), 6) AS coef,
+          round(sqrt(unnest([v0, v1, v2])), 6) AS std_error, 'classic' AS method FROM newton WHERE k = {_NEWTON_STEPS}"""
+    ).replace("WITH tickets", "WITH RECURSIVE tickets", 1).replace("RECURSIVE_MARK ", ""),
+)
+def logit_newton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Newton sums on two columns and the constant, small enough for SQL to solve."""
+    rows = _eligible(spark, sf_dir).select(
+        "target", F.hour("aberto").cast("double").alias("hora"), F.day("aberto").cast("double").alias("dia")
+    )
+    scaled = risk.standardise(rows, rows, ["hora", "dia"])
+    given = settle(scaled.select(F.col("target").alias("y"), F.array(F.lit(1.0), "hora", "dia").alias("x")), "newton")
+    found = logit.summarise(given, ["const", "hora", "dia"])
+    return found.select("feature", rounded("coef").alias("coef"), rounded("std_error").alias("std_error"), "method")
+
+
 _REPLICATES = 300
+_SIGNIFICANCE = ("coef", "std_error", "p_value", "low", "high")
 
 
 @query("logit_significance")
 def logit_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priority and shift first; then every category, among them teams without a positive; then resampled."""
     train, _ = _fold_rows(spark, sf_dir, _spanning(spark, sf_dir)[-1])
-    classic = risk.logit_significance(
-        train, "target", categories=["prioridade", "turno_abertura"], numbers=risk.NUMERIC, row_id="numero", replicates=_REPLICATES
-    )
-    # Teams without a positive make the likelihood diverge, which leads to the resampled intervals.
-    drawn = risk.logit_significance(
-        train, "target", categories=risk.CATEGORICAL, numbers=risk.NUMERIC, row_id="numero", replicates=_REPLICATES
-    )
-    return classic.unionByName(drawn)
+    tables = [
+        risk.logit_significance(
+            train, "target", categories=categories, numbers=risk.NUMERIC, row_id="numero", replicates=_REPLICATES, **way
+        ).withColumn("model", F.lit(model))
+        for model, categories, way in (
+            ("short", ["prioridade", "turno_abertura"], {}),
+            ("resampled", ["prioridade", "turno_abertura"], {"first": "bootstrap"}),
+            ("whole", risk.CATEGORICAL, {}),
+        )
+    ]
+    return _stack(tables).withColumns({c: rounded(c) for c in _SIGNIFICANCE})
 
 
-def _boosted(spark: SparkSession, sf_dir: str, fold: fold_ops.Fold, **params):
-    train, test = _fold_rows(spark, sf_dir, fold)
-    return risk.fit_boosted(train, **params), train, test
+@query(
+    "encoding_totals",
+    with_tickets(
+        f"{_ELIGIBLE} "
+        + " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, coalesce({c}, 'Ausente') AS value, CAST(sum(target) AS BIGINT) AS positives,
+            count(*) AS n, round((sum(target) + (SELECT avg(target) FROM e)) / (count(*) + 1), 6)::DOUBLE AS rate FROM e GROUP BY 2"""
+            for c in _SEPARATED
+        )
+    ),
+)
+def encoding_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category totals kept per month and merged, with the smoothed rate they give."""
+    rows = _eligible(spark, sf_dir)
+    month = F.month("aberto")
+    parts = [risk.encoding_totals(rows.where(month % 3 == part), _SEPARATED, "target") for part in range(3)]
+    prior = rows.agg(F.avg("target")).scalar()
+    merged = risk.merge_totals(*parts)
+    return merged.withColumn("rate", rounded((F.col("positives") + prior) / (F.col("n") + 1)))
+
+
+def _tuned(spark: SparkSession, sf_dir: str) -> list[tuple[fold_ops.Fold, DataFrame, DataFrame, DataFrame]]:
+    """(fold, train, test, trials) with the trials of every fold searched in its own training part, folds side by side."""
+    sides = [(fold, *_fold_rows(spark, sf_dir, fold)) for fold in _spanning(spark, sf_dir)]
+    with ThreadPoolExecutor(len(sides)) as pool:
+        trials = list(pool.map(lambda side: risk.tune_boosted(side[1]), sides))
+    return [(*side, found) for side, found in zip(sides, trials)]
 
 
 @query("gbt_risk")
 def gbt_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winners of each fold's search, fitted on its training part, beside the rate baseline: the whole report."""
     scores = []
-    for fold in _spanning(spark, sf_dir):
-        model, train, test = _boosted(spark, sf_dir, fold)
+    for fold, train, test, trials in _tuned(spark, sf_dir):
+        model = risk.fit_boosted(train, **risk.best_settings(trials))
         base = risk.group_rate_scores(train, test, [], "prioridade", "target")
-        scores.append(model.score(test, ["target"]).withColumn("model", F.lit("arvores")))
-        scores.append(base.select("numero", "target", "score").withColumn("model", F.lit("taxa")))
-        scores[-2:] = [s.withColumn("fold", F.lit(fold.fold)) for s in scores[-2:]]
+        for name, scored in (("arvores", model.score(test, ["target"])), ("taxa", base)):
+            kept = scored.select(F.lit(name).alias("model"), F.lit(fold.fold).alias("fold"), F.col("numero").alias("id"), F.col("target").alias("y"), "score")
+            scores.append(kept)
     # Scores are stored before the metrics read them several times.
-    return _evaluate(settle(_stack(scores), "scores"), ["model", "fold"])
+    return ranking.rare_event_report(settle(_stack(scores), "scores"), ["model", "fold"])
 
 
 @query("gbt_tuning")
 def gbt_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folds = _spanning(spark, sf_dir)
-    return _stack([risk.tune_boosted(_fold_rows(spark, sf_dir, f)[0]).withColumn("fold", F.lit(f.fold)) for f in folds])
+    return _stack([trials.withColumn("fold", F.lit(fold.fold)) for fold, _, _, trials in _tuned(spark, sf_dir)])
 
 
 @query("feature_importance")
@@ -292,8 +369,12 @@ def mlp_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("batch_score")
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a stored logistic and a stored boosted model, both loaded again without their training rows."""
     rows = model_rows(spark, sf_dir)
-    path = work_folder(spark, "risk-model")
+    path, boosted = work_folder(spark, "risk-model"), work_folder(spark, "risk-model")
     risk.fit_logistic(rows, "target").model.save(path)
-    scored = risk.score_rows(PipelineModel.load(path), rows, "numero", ["target"])
-    return scored.select("numero", "target", rounded("score").alias("score"))
+    risk.fit_boosted(rows).save(boosted)
+    scored = risk.score_rows(PipelineModel.load(path), rows, "numero", ["target"]).withColumn("model", F.lit("logistica"))
+    trees = risk.BoostedRiskModel.load(spark, boosted).score(rows, ["target"]).withColumn("model", F.lit("arvores"))
+    both = scored.unionByName(trees)
+    return both.select("model", "numero", "target", rounded("score").alias("score"))
