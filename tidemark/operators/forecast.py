@@ -6,6 +6,7 @@ forecast horizon.  All (series, fold) pairs are one DataFrame.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.pvalues import chi2_p_value
 from tidemark.functions.calendar import cyclic, holiday_flags
+from tidemark.operators.resample import uniforms
 from tidemark.operators.folds import Fold, assign_folds
 from tidemark.operators.series import weekly_sums
+from tidemark.session import settle
 
 ENSEMBLE_WEIGHTS = [1.0, 0.7, 0.5, 0.3, 0.0]
 EXOGENOUS = [
@@ -575,3 +578,163 @@ def partial_autocorrelation(acf: DataFrame, keys: list[str]) -> DataFrame:
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lists.select(*keys).schema.fields)
     return lists.mapInPandas(recurse, f"{fields}, lag int, pacf double")
+
+
+# --- moving-average terms in two stages ----------------------------------------------------------
+
+LONG_ORDER = 10
+MOST_AR, MOST_MA = 3, 3
+
+
+def _cross_products(rows: DataFrame, group: list[str], terms: list[str]) -> DataFrame:
+    """(group, n_rows, gram): sums of products of all pairs of terms, one row per group."""
+    pairs = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
+    sums = rows.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.sum(F.col(terms[i]) * F.col(terms[j])).alias(f"_g{i}_{j}") for i, j in pairs]
+    )
+    size = range(len(terms))
+    return sums.select(*group, "n_rows", F.array(*[F.col(f"_g{min(i, j)}_{max(i, j)}") for i in size for j in size]).alias("gram"))
+
+
+def _regressions(grams: DataFrame, group: list[str], choices: list[tuple[int, ...]], n_terms: int) -> DataFrame:
+    """(group, beta, choice, bic): of the column choices the one of least BIC; absent columns have coefficient 0."""
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in grams.select(*group).schema.fields)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                gram = np.asarray(row.gram, dtype=float).reshape(n_terms, n_terms)
+                best = None
+                for number, columns in enumerate(choices):
+                    cols = list(columns)
+                    xx, xy = gram[np.ix_(cols, cols)], gram[cols, -1]
+                    beta = np.linalg.lstsq(xx, xy, rcond=1e-12)[0]
+                    rss = max(gram[-1, -1] - 2 * beta @ xy + beta @ xx @ beta, 1e-12)
+                    bic = row.n_rows * np.log(rss / row.n_rows) + len(cols) * np.log(row.n_rows)
+                    if best is None or bic < best[0]:
+                        full = np.zeros(n_terms - 1)
+                        full[cols] = beta
+                        best = (float(bic), number, full.tolist())
+                out.append((*[getattr(row, g) for g in group], best[2], best[1], best[0]))
+            yield pd.DataFrame(out, columns=[*group, "beta", "choice", "bic"])
+
+    return grams.mapInPandas(solve, f"{fields}, beta array<double>, choice int, bic double")
+
+
+def arima_orders() -> list[tuple[int, int]]:
+    """(p, q) from few terms to many: the first of equal BIC is the smallest."""
+    return sorted(((p, q) for p in range(MOST_AR + 1) for q in range(MOST_MA + 1)), key=lambda o: (sum(o), o))
+
+
+def fit_arima(train: DataFrame, keys: list[str], value: str, day: str = "data") -> DataFrame:
+    """(keys, fold, p, q, bic, beta, start, level, changes, shocks, pool) of a pure ARIMA(p, 1, q) per series and fold.
+
+    Two stages on sums of cross products: a long autoregression of the first differences, whose residuals stand
+    for the shocks, then a regression on lagged differences and lagged shocks; (p, q) by BIC. ``beta`` is the
+    constant, the lags of the difference and of the shocks; ``pool`` holds all shocks, sorted. ``train`` holds (keys, fold, day, value) without gaps.
+    """
+    group = [*keys, "fold"]
+    w = Window.partitionBy(*group).orderBy(day)
+    lags = [f"_l{k}" for k in range(1, LONG_ORDER + 1)]
+    change = train.select(*group, day, F.col(value).cast("double").alias("_v"), (F.col(value) - F.lag(value).over(w)).cast("double").alias("_d"))
+    rows = change.select("*", F.lit(1.0).alias("_one"), *[F.lag("_d", k).over(w).alias(c) for k, c in enumerate(lags, 1)])
+    long_terms = ["_one", *lags, "_d"]
+    whole = rows.dropna(subset=long_terms)
+    first = _regressions(_cross_products(whole, group, long_terms), group, [tuple(range(LONG_ORDER + 1))], len(long_terms))
+    # Days of a series are bounded by the calendar, and so are these windows.
+    fitted = whole.join(first.select(*group, "beta"), group)
+    expected = sum(F.col("beta")[i] * F.col(c) for i, c in enumerate(long_terms[:-1]))
+    shocked = fitted.withColumn("_e", F.col("_d") - expected)
+    shocks = [f"_e{k}" for k in range(1, MOST_MA + 1)]
+    shocked = settle(shocked.select(*group, day, "_v", "_one", *lags[:MOST_AR], "_d", "_e", *[F.lag("_e", k).over(w).alias(c) for k, c in enumerate(shocks, 1)]), "shocks")
+    terms = ["_one", *lags[:MOST_AR], *shocks, "_d"]
+    orders = arima_orders()
+    choices = [(0, *range(1, p + 1), *range(MOST_AR + 1, MOST_AR + q + 1)) for p, q in orders]
+    second = _regressions(_cross_products(shocked.dropna(subset=terms), group, terms), group, choices, len(terms))
+    last = shocked.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc(day)))).where(F.col("_n") <= max(MOST_AR, MOST_MA))
+
+    def newest(column: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct("_n", column))), lambda s: s[column])
+
+    state = last.groupBy(*group).agg(
+        F.max(day).alias("start"), F.max_by("_v", day).alias("level"), newest("_d").alias("changes"), newest("_e").alias("shocks")
+    )
+    order = F.element_at(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in orders]), F.col("choice") + 1)
+    pool = shocked.groupBy(*group).agg(F.sort_array(F.collect_list("_e")).alias("pool"))
+    return second.withColumn("_o", order).join(state, group).join(pool, group).select(
+        *group, "_o.p", "_o.q", "bic", "beta", "start", "level", "changes", "shocks", "pool"
+    )
+
+
+def arima_forecasts(fits: DataFrame, keys: list[str], horizon: int, day: str = "data", model: str = "arima") -> DataFrame:
+    """(keys, fold, model, h, data, forecast): the fitted recursion, coming shocks at their mean of 0."""
+    beta = F.col("beta")
+
+    def step(acc: Column, _: Column) -> Column:
+        moved = beta[0] + sum(beta[k] * acc["changes"][k - 1] for k in range(1, MOST_AR + 1)) + sum(
+            beta[MOST_AR + k] * acc["shocks"][k - 1] for k in range(1, MOST_MA + 1)
+        )
+        level = acc["level"] + moved
+        return F.struct(
+            level.alias("level"),
+            F.concat(F.array(moved), F.slice(acc["changes"], 1, MOST_AR - 1)).alias("changes"),
+            F.concat(F.array(F.lit(0.0)), F.slice(acc["shocks"], 1, MOST_MA - 1)).alias("shocks"),
+            F.concat(acc["path"], F.array(level)).alias("path"),
+        )
+
+    start = F.struct("level", "changes", "shocks", F.array().cast("array<double>").alias("path"))
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda acc: acc["path"])
+    steps = fits.select(*keys, "fold", "start", F.posexplode(path).alias("_i", "forecast"))
+    return steps.select(
+        *keys, "fold", F.lit(model).alias("model"), (F.col("_i") + 1).alias("h"), F.date_add("start", F.col("_i") + 1).alias(day), "forecast"
+    )
+
+
+def path_intervals(
+    fits: DataFrame, keys: list[str], horizon: int, paths: int = 500, level: float = 0.95, seed: int = 42
+) -> DataFrame:
+    """(keys, fold, span, h, low, high): bounds from simulated paths, per day and per week of seven days.
+
+    Every path runs the fitted recursion with shocks drawn from the observed ones, so bounds widen with the
+    horizon, and a week's bound is a bound of the sum. Draws are repeatable: a digest of seed, series, fold and day
+    gives a uniform number per path, which looks up the sorted shocks.
+    """
+    group = [*keys, "fold"]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fits.select(*group).schema.fields)
+    tail = (1 - level) / 2
+
+    def simulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers = np.arange(1, paths + 1)
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                ids = [getattr(row, g) for g in group]
+                beta, pool = np.asarray(row.beta), np.asarray(row.pool)
+                changes = [np.full(paths, v) for v in row.changes]
+                shocks = [np.full(paths, v) for v in row.shocks]
+                at, levels = np.full(paths, row.level), []
+                for h in range(1, horizon + 1):
+                    mark = hashlib.md5("#".join(str(v) for v in (seed, *ids, h)).encode()).hexdigest()
+                    drawn = uniforms(*([int(mark[7 * k : 7 * k + 7], 16)] for k in range(3)), numbers)[0]
+                    shock = pool[(drawn * len(pool)).astype(int)]
+                    moved = beta[0] + sum(beta[k + 1] * changes[k] for k in range(MOST_AR)) + sum(
+                        beta[MOST_AR + k + 1] * shocks[k] for k in range(MOST_MA)
+                    ) + shock
+                    at = at + moved
+                    changes, shocks = [moved, *changes[:-1]], [shock, *shocks[:-1]]
+                    levels.append(at)
+                for h, values in enumerate(levels, 1):
+                    out.append((*ids, "day", h, *np.quantile(values, [tail, 1 - tail])))
+                for week in range(horizon // SEASON):
+                    total = sum(levels[week * SEASON : (week + 1) * SEASON])
+                    out.append((*ids, "week", week + 1, *np.quantile(total, [tail, 1 - tail])))
+            yield pd.DataFrame(out, columns=[*group, "span", "h", "low", "high"])
+
+    return fits.mapInPandas(simulate, f"{fields}, span string, h int, low double, high double")
+
+
+def all_baselines(train: DataFrame, keys: list[str], value: str, horizon: int, day: str = "data") -> DataFrame:
+    """The three simple baselines and the pure ARIMA in one table of (keys, fold, model, h, data, forecast)."""
+    simple = baseline_forecasts(train, keys, value, horizon, day)
+    return simple.unionByName(arima_forecasts(fit_arima(train, keys, value, day), keys, horizon, day))

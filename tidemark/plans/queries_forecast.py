@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import forecast, series
+from tidemark.operators import forecast, resample, series
 from tidemark.operators.folds import Fold, observed_span, spanning_folds
 from tidemark.plans.registry import query, rounded, sql_chi2_tail, with_tickets
 from tidemark.session import settle
@@ -450,6 +450,112 @@ def _design(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return design.where("side = 'train'"), design.where("side = 'test'")
 
 
+def _sql_eliminate(name: str, given: str, keys: str, pivots: str) -> str:
+    """Gauss-Jordan elimination of a small augmented matrix of (keys, i, j, v): pivot after pivot, all groups at once."""
+    on = " AND ".join(f"{{0}}.{k} = s.{k}" for k in keys.split(", "))
+    own = ", ".join(f"s.{k}" for k in keys.split(", "))
+    return f"""{name}(k, {keys}, i, j, v) AS (SELECT 0, {keys}, i, j, v FROM {given} UNION ALL
+      SELECT s.k + 1, {own}, s.i, s.j, CASE WHEN s.i = s.k + 1 THEN s.v / p.v ELSE s.v - c.v * r.v / p.v END FROM {name} s
+      JOIN {name} p ON {on.format("p")} AND p.i = s.k + 1 AND p.j = s.k + 1
+      JOIN {name} c ON {on.format("c")} AND c.i = s.i AND c.j = s.k + 1
+      JOIN {name} r ON {on.format("r")} AND r.i = s.k + 1 AND r.j = s.j WHERE s.k < {pivots})"""
+
+
+_LONG, _AR, _MA = forecast.LONG_ORDER, forecast.MOST_AR, forecast.MOST_MA
+_LONG_TERMS = ", ".join(["1.0::DOUBLE", *(f"l{k}::DOUBLE" for k in range(1, _LONG + 1)), "y::DOUBLE"])
+_SHORT_TERMS = ", ".join(["1.0::DOUBLE", *(f"l{k}::DOUBLE" for k in range(1, _AR + 1)), *(f"e{k}" for k in range(1, _MA + 1)), "y::DOUBLE"])
+_ORDERS = ", ".join(
+    f"({n}, {p}, {q}, [1, {''.join(f'{k + 1}, ' for k in range(1, p + 1))}{''.join(f'{_AR + 1 + k}, ' for k in range(1, q + 1))}{_AR + _MA + 2}])"
+    for n, (p, q) in enumerate(forecast.arima_orders())
+)
+_BETA = ", ".join(f"coalesce(max(v) FILTER (term = {t}), 0)::DOUBLE AS b{t}" for t in range(1, _AR + _MA + 2))
+_MOVED = " + ".join(["b1", *(f"b{k + 1} * d{k}" for k in range(1, _AR + 1)), *(f"b{_AR + 1 + k} * e{k}" for k in range(1, _MA + 1))])
+_COEFS = ", ".join(f"b{t}" for t in range(1, _AR + _MA + 2))
+_STATE = ", ".join([*(f"d{k}" for k in range(1, _AR + 1)), *(f"e{k}" for k in range(1, _MA + 1))])
+_SHIFTED = ", ".join(["moved", *(f"d{k}" for k in range(1, _AR)), "0.0::DOUBLE", *(f"e{k}" for k in range(1, _MA))])
+_ARIMA = f"""{DAILY}, {_FOLDS},
+  x AS (SELECT *, total - lag(total) OVER (PARTITION BY serie ORDER BY data) AS y FROM d),
+  l AS (SELECT *, {", ".join(f"lag(y, {k}) OVER (PARTITION BY serie ORDER BY data) AS l{k}" for k in range(1, _LONG + 1))} FROM x),
+  tr AS (SELECT fold, l.*, [{_LONG_TERMS}] AS t FROM l JOIN f ON data BETWEEN a AND b WHERE l{_LONG} IS NOT NULL),
+  g0 AS (SELECT serie, fold, i, j, sum(t[i] * t[j]) AS v FROM tr, range(1, {_LONG + 3}) AS a(i), range(1, {_LONG + 3}) AS b(j) GROUP BY ALL),
+  {_sql_eliminate("s0", "g0", "serie, fold", str(_LONG + 1))},
+  b0 AS (SELECT serie, fold, list(v ORDER BY i) AS beta FROM s0 WHERE k = {_LONG + 1} AND j = {_LONG + 2} AND i <= {_LONG + 1} GROUP BY 1, 2),
+  sh AS (SELECT tr.*, y - list_dot_product(beta, t[1:{_LONG + 1}]) AS e0 FROM tr JOIN b0 USING (serie, fold)),
+  el AS (SELECT *, {", ".join(f"lag(e0, {k}) OVER (PARTITION BY serie, fold ORDER BY data) AS e{k}" for k in range(1, _MA + 1))} FROM sh),
+  st AS (SELECT serie, fold, [{_SHORT_TERMS}] AS t FROM el WHERE e{_MA} IS NOT NULL),
+  n1 AS (SELECT serie, fold, count(*) AS n FROM st GROUP BY 1, 2),
+  full_gram AS (SELECT serie, fold, i, j, sum(t[i] * t[j]) AS v FROM st, range(1, {_AR + _MA + 3}) AS a(i), range(1, {_AR + _MA + 3}) AS b(j) GROUP BY ALL),
+  o(o, p, q, cols) AS (VALUES {_ORDERS}),
+  g1 AS (SELECT serie, fold, o, list_position(cols, i) AS i, list_position(cols, j) AS j, v, len(cols) AS size
+    FROM full_gram, o WHERE list_contains(cols, i) AND list_contains(cols, j)),
+  {_sql_eliminate("s1", "g1", "serie, fold, o, size", "s.size - 1")},
+  done AS (SELECT * FROM s1 WHERE k = size - 1 AND j = size),
+  bics AS (SELECT serie, fold, o, n * ln(v / n) + (size - 1) * ln(n) AS bic FROM done JOIN n1 USING (serie, fold) WHERE i = size),
+  won AS (SELECT serie, fold, o, bic FROM bics QUALIFY row_number() OVER (PARTITION BY serie, fold ORDER BY bic, o) = 1),
+  coefs AS (SELECT serie, fold, p, q, bic, {_BETA} FROM (SELECT done.*, p, q, bic, cols[i] AS term FROM done JOIN won USING (serie, fold, o) JOIN o USING (o) WHERE i < size) GROUP BY ALL),
+  now AS (SELECT serie, fold, max(data) AS start, arg_max(total, data)::DOUBLE AS level, {", ".join(
+      f"max({c}) FILTER (n = {k})::DOUBLE AS {c0}{k}" for c, c0, m in (("y", "d", _AR), ("e0", "e", _MA)) for k in range(1, m + 1))}
+    FROM (SELECT *, row_number() OVER (PARTITION BY serie, fold ORDER BY data DESC) AS n FROM el) GROUP BY 1, 2),
+  ahead(serie, fold, start, h, level, {_STATE}, {_COEFS}) AS (
+    SELECT serie, fold, start, 0, level, {_STATE}, {_COEFS} FROM now JOIN coefs USING (serie, fold)
+    UNION ALL
+    SELECT serie, fold, start, h + 1, level + moved, {_SHIFTED}, {_COEFS} FROM (SELECT *, {_MOVED} AS moved FROM ahead WHERE h < {HORIZON}))"""
+
+
+@query(
+    "arima_order",
+    f"WITH RECURSIVE {_ARIMA} SELECT serie, fold, p, q, round(bic, 4)::DOUBLE AS bic, {', '.join(f'round(b{t}, 6)::DOUBLE AS b{t}' for t in range(1, _AR + _MA + 2))} FROM coefs",
+)
+def arima_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _sides(spark, sf_dir)
+    fits = forecast.fit_arima(train, KEYS, "total")
+    betas = [rounded(F.col("beta")[t - 1]).alias(f"b{t}") for t in range(1, _AR + _MA + 2)]
+    return fits.select(*KEYS, "fold", "p", "q", rounded("bic", 4).alias("bic"), *betas)
+
+
+@query(
+    "all_baselines",
+    f"""WITH RECURSIVE {_ARIMA},
+    r AS (SELECT serie, fold, max(data) AS start, arg_max(total, data)::DOUBLE AS last, list(total ORDER BY data)[-7:] AS recent FROM d JOIN f ON data BETWEEN a AND b GROUP BY 1, 2),
+    m AS (SELECT serie, fold, start, h, unnest(['ingenuo', 'sazonal_7', 'media_7']) AS model,
+      unnest([last, recent[(h - 1) % 7 + 1]::DOUBLE, list_avg(recent)::DOUBLE]) AS forecast FROM r, range(1, {HORIZON + 1}) AS t(h))
+    SELECT serie, fold, model, h::INTEGER AS h, CAST(start + h::INTEGER AS DATE) AS data, round(forecast, 6)::DOUBLE AS forecast FROM m
+    UNION ALL SELECT serie, fold, 'arima', h::INTEGER, CAST(start + h::INTEGER AS DATE), round(level, 6)::DOUBLE FROM ahead WHERE h > 0""",
+)
+def all_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _sides(spark, sf_dir)
+    return _rounded_all(forecast.all_baselines(train, KEYS, "total", HORIZON), ["forecast"])
+
+
+_PATHS = 500
+_DRAWN = ", ".join(["moved", *(f"d{k}" for k in range(1, _AR)), "shock", *(f"e{k}" for k in range(1, _MA))])
+
+
+@query(
+    "path_interval",
+    f"""WITH RECURSIVE {_ARIMA},
+    pool AS (SELECT serie, fold, list(e0 ORDER BY e0) AS pool FROM sh GROUP BY 1, 2),
+    mark AS (SELECT serie, fold, h, md5(concat_ws('#', '42', serie, fold, h)) AS m FROM now, range(1, {HORIZON + 1}) AS t(h)),
+    keyed AS (SELECT serie, fold, h, {", ".join(f"CAST('0x' || substr(m, {1 + 7 * k}, 7) AS BIGINT) AS u{k}" for k in range(3))} FROM mark),
+    shock AS (SELECT serie, fold, h, path, pool[CAST(floor({resample.sql_uniform("u0", "u1", "u2", "path")} * len(pool)) AS BIGINT) + 1] AS shock
+      FROM keyed JOIN pool USING (serie, fold), range(1, {_PATHS + 1}) AS r(path)),
+    sim(serie, fold, path, h, level, {_STATE}, {_COEFS}) AS (
+      SELECT serie, fold, path, 0, level, {_STATE}, {_COEFS} FROM now JOIN coefs USING (serie, fold), range(1, {_PATHS + 1}) AS r(path)
+      UNION ALL
+      SELECT serie, fold, path, h + 1, level + moved, {_DRAWN}, {_COEFS} FROM (
+        SELECT sim.*, shock.shock, {_MOVED} + shock.shock AS moved FROM sim
+        JOIN shock ON shock.serie = sim.serie AND shock.fold = sim.fold AND shock.path = sim.path AND shock.h = sim.h + 1)),
+    spans AS (SELECT serie, fold, path, 'day' AS span, h, level AS v FROM sim WHERE h > 0
+      UNION ALL SELECT serie, fold, path, 'week', (h - 1) // 7 + 1, sum(level) FROM sim WHERE h > 0 GROUP BY 1, 2, 3, 4, 5)
+    SELECT serie, fold, span, h::INTEGER AS h, round(quantile_cont(v, 0.025), 4)::DOUBLE AS low, round(quantile_cont(v, 0.975), 4)::DOUBLE AS high
+    FROM spans GROUP BY 1, 2, 3, 4""",
+)
+def path_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _sides(spark, sf_dir)
+    found = forecast.path_intervals(forecast.fit_arima(train, KEYS, "total"), KEYS, HORIZON, _PATHS)
+    return _rounded_all(found, ["low", "high"], 4)
+
+
 @query("arx_backtest")
 def arx_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _design(spark, sf_dir)
