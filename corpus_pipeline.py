@@ -72,8 +72,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its text, how often it is taken (epochs) and how many words that makes (taken); see mix_documents."""
-    return mixing.mix_documents(docs, keep=("text",))
+    """For every row how often it is taken (epochs) and how many words that makes (taken); see mix_documents."""
+    return mixing.mix_documents(docs)
 
 
 STAGES = [
