@@ -84,3 +84,25 @@ def test_stream_scoring(spark, sf_dir):
     )
     _drain(query)
     assert spark.read.parquet(out).count() == gold.count()
+
+
+def test_wanted_rows_have_the_same_history(spark):
+    """Rows that are not asked for still count as history, but do not reach the join by number."""
+    from datetime import datetime, timedelta
+
+    start = datetime(2024, 3, 1)
+    raw = spark.createDataFrame(
+        [(i, start + timedelta(minutes=20 * (i // 2)), f"P{i % 2}", f"ic{i % 3}", [None, "T1", "T2"][i % 3], f"texto {i % 4}",
+          "INC1" if i % 5 == 0 else None, ["SIM", "NAO", None][i % 3 if i % 7 else 2]) for i in range(60)],
+        "numero long, aberto timestamp_ntz, prioridade string, item_configuracao string, grupo_designado string, descricao_limpa string, incidente_pai string, entrou_kpi string",
+    ).selectExpr(
+        "*", *[f"cast(null as string) {c}" for c in ("produto", "categoria", "subcategoria", "aberto_por", "kpi_violado")],
+        "false flag_categorizado",
+    )
+    assert set(raw.columns) == set(medallion.RISK_INPUTS)
+    wanted = F.col("entrou_kpi") == "SIM"
+    part, whole = medallion.gold_risk(raw, 25, wanted=wanted), medallion.gold_risk(raw, 25)
+    got = sorted(map(str, part.collect()))
+    assert got and got == sorted(map(str, whole.where(wanted).collect()))
+    history = medallion.ticket_history(raw, wanted=wanted)
+    assert history.count() == len(got) and history.columns == medallion.ticket_history(raw).columns

@@ -13,9 +13,13 @@ def row_count() -> Column:
     return F.count(F.lit(1))
 
 
+def counts_for_agreement() -> Column:
+    return F.col("entrou_kpi") == "SIM"
+
+
 def eligible(df: DataFrame) -> DataFrame:
     """Tickets that count for the agreement, with the 0/1 target; an unknown outcome is 0."""
-    return df.where(F.col("entrou_kpi") == "SIM").withColumn(
+    return df.where(counts_for_agreement()).withColumn(
         "target", F.coalesce((F.col("kpi_violado") == "SIM").cast("int"), F.lit(0))
     )
 

@@ -33,6 +33,13 @@ RISK_COLUMNS = [
     "entrou_kpi", "kpi_violado", "pressao_fila_7d",
 ]
 
+# The silver columns that the risk table is made of.
+RISK_INPUTS = [
+    "numero", "aberto", "prioridade", "produto", "categoria", "subcategoria", "grupo_designado",
+    "item_configuracao", "aberto_por", "descricao_limpa", "flag_categorizado", "incidente_pai",
+    "entrou_kpi", "kpi_violado",
+]
+
 
 def in_year(time: str, year: int) -> Column:
     """A calendar year as a range, so that the filter reaches the file statistics."""
@@ -188,16 +195,23 @@ def queue_pressure(tickets: DataFrame) -> DataFrame:
     )
 
 
-def ticket_history(tickets: DataFrame, text: str = "descricao_limpa") -> DataFrame:
+def ticket_history(
+    tickets: DataFrame, text: str = "descricao_limpa", wanted: Column | None = None
+) -> DataFrame:
     """(numero, causal features): every feature runs on three columns and meets the others by number.
 
-    The wide ticket rows stay out of the ordered shuffles.
+    The wide ticket rows stay out of the ordered shuffles. Every ticket is history; with ``wanted`` only the rows for
+    which it holds come back, so that the others are not shuffled to meet by number.
     """
     order = {"time": "aberto", "tiebreak": "numero"}
     cuts = find_cuts(tickets, ["aberto", "numero"])
+    marks = [] if wanted is None else [wanted.alias("_wanted")]
 
     def narrow(key: str) -> DataFrame:
-        return tickets.select("numero", "aberto", key)
+        return tickets.select("numero", "aberto", key, *marks)
+
+    def returned(found: DataFrame, *columns: str) -> DataFrame:
+        return (found if wanted is None else found.where("_wanted")).select("numero", *columns)
 
     item = causal.count_and_gap(
         narrow("item_configuracao"),
@@ -206,15 +220,15 @@ def ticket_history(tickets: DataFrame, text: str = "descricao_limpa") -> DataFra
         hours_out="ic_horas_desde_ultimo_chamado",
         cuts=cuts,
         **order,
-    ).drop("aberto", "item_configuracao")
-    frames = [item]
+    )
+    frames = [returned(item, "ic_contagem_historica", "ic_horas_desde_ultimo_chamado")]
     for key, out in (
         ("grupo_designado", "grupo_contagem_historica"),
         (text, "descricao_contagem_historica"),
         ("incidente_pai", "incidente_pai_contagem_historica"),
     ):
         found = causal.prior_count(narrow(key), key=key, out=out, cuts=cuts, **order)
-        frames.append(found.select("numero", out))
+        frames.append(returned(found, out))
     load = causal.rolling_prior_count(
         narrow("grupo_designado"),
         key="grupo_designado",
@@ -222,15 +236,18 @@ def ticket_history(tickets: DataFrame, text: str = "descricao_limpa") -> DataFra
         out="grupo_chamados_ultima_hora",
         cuts=cuts,
     )
-    frames.append(load.select("numero", "grupo_chamados_ultima_hora"))
+    frames.append(returned(load, "grupo_chamados_ultima_hora"))
     history = frames[0]
     for frame in frames[1:]:
         history = history.join(frame, "numero")
     return history
 
 
-def gold_risk(silver_tickets: DataFrame, minimum: int = 100) -> DataFrame:
-    """Ticket-grain table of what is known at opening time, with the target columns."""
+def gold_risk(silver_tickets: DataFrame, minimum: int = 100, wanted: Column | None = None) -> DataFrame:
+    """Ticket-grain table of what is known at opening time, with the target columns.
+
+    ``wanted`` names the rows to return; history, volumes and group sizes still come from all tickets.
+    """
     base = silver_tickets.withColumn("data", F.to_date("aberto")).select(
         "*",
         *hour_calendar("aberto"),
@@ -244,8 +261,10 @@ def gold_risk(silver_tickets: DataFrame, minimum: int = 100) -> DataFrame:
     flagged = causal.low_volume_flag(
         base, group="grupo_designado", out="grupo_baixo_volume", minimum=minimum
     )
+    if wanted is not None:
+        flagged = flagged.where(wanted)
     return (
-        flagged.join(ticket_history(silver_tickets), "numero", "left")
+        flagged.join(ticket_history(silver_tickets, wanted=wanted), "numero", "left")
         .join(F.broadcast(days), "data", "left")
         .select(*RISK_COLUMNS)
     )

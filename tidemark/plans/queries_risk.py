@@ -27,8 +27,11 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _STORED:
-        clean = settle(medallion.silver(tickets(spark, sf_dir), year=YEAR), "silver")
-        rows = profile.eligible(medallion.gold_risk(clean)).drop("grupo_baixo_volume")
+        # Other columns are neither shuffled nor stored; the choice of a ticket's first row still sees them.
+        clean = medallion.silver(tickets(spark, sf_dir), year=YEAR).select(medallion.RISK_INPUTS)
+        clean = settle(clean, "silver")
+        counted = medallion.gold_risk(clean, wanted=profile.counts_for_agreement())
+        rows = profile.eligible(counted).drop("grupo_baixo_volume")
         flagged = causal.low_volume_flag(
             rows, group="grupo_designado", out="grupo_baixo_volume", minimum=220
         )
