@@ -10,7 +10,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from tidemark.operators import logit, ranking, resample, risk
+from tidemark.operators import logit, perceptron, ranking, resample, risk
 from tidemark.operators.folds import expanding_folds, in_fold
 from tidemark.plans import all_queries, medallion
 from tidemark.session import settle, work_folder
@@ -273,3 +273,61 @@ def test_queries_run_the_whole_job(monkeypatch):
     tests = [k for n, k in calls if n == "logit_significance"]
     assert all(k["replicates"] == 300 and k["numbers"] == q.risk.NUMERIC for k in tests) and tests[-1]["categories"] == q.risk.CATEGORICAL
     assert {n for n, _ in calls if isinstance(n, date)} == {date(2024, 1, d) for d in (16, 23, 30)}
+
+
+def test_networks_are_trained_together_with_row_weights(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    y = (rng.random(300) < 1 / (1 + np.exp(1 - 2 * x[:, 1]))).astype(int)
+    rows = spark.createDataFrame([(int(b), a.tolist()) for a, b in zip(x, y)], "y int, x array<double>")
+    twice = F.when(F.col("y") == 1, 2).otherwise(1)
+    given = perceptron.blocks(rows, "y", "x", twice)
+    first = {1: ([3, 4, 2], rng.normal(size=26)), 2: ([3, 2, 2], rng.normal(size=14))}
+    got = perceptron.sums(given, first)
+    repeated = np.concatenate([np.arange(300), np.flatnonzero(y)])
+    for i, (layers, weights) in first.items():
+        loss, gradient = perceptron.loss_and_gradient(layers, weights, x[repeated], y[repeated], np.ones(len(repeated)))
+        assert got[i][0] == pytest.approx(loss / len(repeated)) and got[i][1] == pytest.approx(gradient / len(repeated), abs=1e-12)
+        nudge = np.eye(len(weights))[3] * 1e-6
+        near = [perceptron.loss_and_gradient(layers, weights + d, x, y, np.ones(300))[0] for d in (nudge, -nudge)]
+        assert (near[0] - near[1]) / 2e-6 == pytest.approx(perceptron.loss_and_gradient(layers, weights, x, y, np.ones(300))[1][3], rel=1e-4)
+    # Side by side or alone, and over few steps or many, a network takes the same way down.
+    both = perceptron.train(given, {i: (*n, 6) for i, n in first.items()})
+    alone = perceptron.train(given, {1: (*first[1], 3)})[1]
+    assert len(alone) == 4 and all(a == pytest.approx(b, abs=1e-9) for a, b in zip(alone, both[1]))
+    last = {i: perceptron.sums(given, {i: (n[0], both[i][-1])})[i][0] for i, n in first.items()}
+    assert all(last[i] < got[i][0] for i in first)
+
+
+def test_perceptron_options_share_their_passes(spark, sides, monkeypatch):
+    """Options that differ in steps only are one network, and the stored model answers as its weights do."""
+    passes, sums = [], perceptron.sums
+    monkeypatch.setattr(perceptron, "sums", lambda rows, networks: passes.append(sorted(networks)) or sums(rows, networks))
+    options = [{"hidden": [4], "maxIter": 2}, {"hidden": [4], "maxIter": 5}, {"hidden": [3], "maxIter": 5}]
+    models = risk.fit_perceptrons(sides[0], options)
+    assert passes[0] == [0, 1] and len(passes) <= 5 * perceptron.TRIES
+    assert [list(m.stages[-1].getLayers())[1] for m in models] == [4, 4, 3]
+    last = models[1].stages[-1]
+    seen = models[1].transform(risk.filled(sides[1], risk.CATEGORICAL, risk.NUMERIC)).select(
+        risk.vector_to_array("features").alias("x"), risk.positive_probability().alias("p")
+    ).limit(20).collect()
+    for r in seen:
+        loss, _ = perceptron.loss_and_gradient(list(last.getLayers()), last.weights.toArray(), np.array([r["x"]]), np.ones(1), np.ones(1))
+        assert r["p"] == pytest.approx(math.exp(-loss))
+
+
+def test_networks_follow_the_library_learner(spark):
+    """In one block without repeated rows the loss is the library's, and so is the way down."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(100, 3))
+    y = (rng.random(100) < 1 / (1 + np.exp(-2 * x[:, 0] * x[:, 1]))).astype(int)
+    rows = spark.createDataFrame([(int(b), a.tolist()) for a, b in zip(x, y)], "y int, x array<double>").coalesce(1)
+    ready = rows.withColumn("features", array_to_vector("x"))
+    plain = MultilayerPerceptronClassifier(labelCol="y", layers=[3, 5, 4, 2], seed=42)
+    start = plain.copy({plain.maxIter: 0}).fit(ready).weights.toArray()
+    path = perceptron.train(perceptron.blocks(rows, "y", "x", F.lit(1)), {0: ([3, 5, 4, 2], start, 12)})[0]
+    for steps in (3, 12):
+        assert path[steps] == pytest.approx(plain.copy({plain.maxIter: steps}).fit(ready).weights.toArray(), abs=1e-5)

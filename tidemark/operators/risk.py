@@ -37,7 +37,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import logit
+from tidemark.operators import logit, perceptron
 from tidemark.operators.ordering import add_prior
 from tidemark.operators.profile import sample_rows
 from tidemark.operators.ranking import average_precision
@@ -721,20 +721,17 @@ def fit_text_clusters(
 # --- perceptron ----------------------------------------------------------------------------------
 
 
+def positive_copies(df: DataFrame, target: str) -> int:
+    """How often a positive row counts, so that both classes weigh about the same; 1 at least."""
+    size = df.agg(F.count(F.lit(1)).alias("all"), F.coalesce(F.sum(target), F.lit(0)).alias("pos"))
+    share = F.round((F.col("all") - F.col("pos")) / F.greatest(F.lit(1), F.col("pos")))
+    return size.select(F.greatest(F.lit(1), share).cast("int")).first()[0]
+
+
 def repeat_positives(df: DataFrame, target: str) -> DataFrame:
-    """Repeat positive rows so that both classes weigh about the same (the learner takes no weights)."""
-    size = df.agg(
-        F.struct(F.count(F.lit(1)).alias("all"), F.coalesce(F.sum(target), F.lit(0)).alias("pos"))
-    ).scalar()
-    factor = F.greatest(
-        F.lit(1), F.round((F.col("_s.all") - F.col("_s.pos")) / F.greatest(F.lit(1), F.col("_s.pos")))
-    ).cast("int")
-    copies = F.when(F.col(target) == 1, factor).otherwise(F.lit(1))
-    return (
-        df.withColumn("_s", size)
-        .withColumn("_c", F.explode(F.sequence(F.lit(1), copies)))
-        .drop("_s", "_c")
-    )
+    """Repeat positive rows so that both classes weigh about the same, for learners that take no weights."""
+    copies = F.when(F.col(target) == 1, positive_copies(df, target)).otherwise(F.lit(1))
+    return df.withColumn("_c", F.explode(F.sequence(F.lit(1), copies))).drop("_c")
 
 
 PERCEPTRON_GRID = [
@@ -745,18 +742,45 @@ PERCEPTRON_GRID = [
 ]
 
 
-def fit_perceptron(
-    train: DataFrame, *, target: str = "target", hidden: list[int], max_iter: int, seed: int = 42
-) -> PipelineModel:
+def fit_perceptrons(train: DataFrame, options: list[dict], *, target: str = "target", seed: int = 42) -> list[PipelineModel]:
+    """One stored model per option, all trained in the same passes over one matrix.
+
+    Options that differ in ``maxIter`` only are one network, read after so many steps.
+    """
     ready = filled(train, CATEGORICAL, NUMERIC)
     prep = Pipeline(stages=linear_stages(CATEGORICAL, NUMERIC, ready.count())).fit(ready)
     data = prep.transform(ready).select(target, "features")
-    width = data.select("features").first()[0].size
-    learner = MultilayerPerceptronClassifier(
-        labelCol=target, layers=[width, *hidden, 2], maxIter=max_iter, seed=seed
+    one = data.limit(1)
+    width = one.first()["features"].size
+    weight = F.when(F.col(target) == 1, positive_copies(ready, target)).otherwise(F.lit(1))
+    stored_rows = perceptron.blocks(data.withColumn("x", vector_to_array("features")), target, "x", weight)
+    plain = MultilayerPerceptronClassifier(labelCol=target, maxIter=0, seed=seed)
+
+    def layers(option: dict) -> list[int]:
+        return [width, *option["hidden"], 2]
+
+    steps: dict[tuple, int] = {}
+    for option in options:
+        key = tuple(option["hidden"])
+        steps[key] = max(steps.get(key, 0), option["maxIter"])
+    # Without steps the learner returns the weights it starts from, or is given.
+    starts = {key: plain.copy({plain.layers: [width, *key, 2]}).fit(one).weights.toArray() for key in steps}
+    paths = perceptron.train(
+        stored_rows, {i: ([width, *key, 2], starts[key], steps[key]) for i, key in enumerate(steps)}
     )
-    fitted = learner.fit(repeat_positives(data, target))
-    return stored(PipelineModel([*prep.stages, fitted]))
+    models = []
+    for option in options:
+        path = paths[list(steps).index(tuple(option["hidden"]))]
+        weights = Vectors.dense(path[min(option["maxIter"], len(path) - 1)])
+        fitted = plain.copy({plain.layers: layers(option), plain.initialWeights: weights}).fit(one)
+        models.append(stored(PipelineModel([*prep.stages, fitted])))
+    return models
+
+
+def fit_perceptron(
+    train: DataFrame, *, target: str = "target", hidden: list[int], max_iter: int, seed: int = 42
+) -> PipelineModel:
+    return fit_perceptrons(train, [{"hidden": hidden, "maxIter": max_iter}], target=target, seed=seed)[0]
 
 
 def tune_perceptron(
@@ -774,10 +798,8 @@ def tune_perceptron(
     )
     fit_part, check = marked.where("part = 'fit'"), marked.where("part = 'validation'")
     results = []
-    for option in grid or PERCEPTRON_GRID:
-        model = fit_perceptron(
-            fit_part, target=target, hidden=option["hidden"], max_iter=option["maxIter"], seed=seed
-        )
+    options = grid or PERCEPTRON_GRID
+    for option, model in zip(options, fit_perceptrons(fit_part, options, target=target, seed=seed)):
         value = average_precision(score_rows(model, check, row_id, [target]), [], y=target).first()[0]
         results.append((option, value if value is not None else -1.0))
     return max(results, key=lambda r: r[1])[0], results
