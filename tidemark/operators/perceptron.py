@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import parallel_parts, settle
 
-# A batch of Arrow holds up to 10,000 of these: small enough for a task.
+# Rows per block. A batch of Arrow holds up to 10,000 blocks, unless its limit of bytes comes first.
 BLOCK = 256
 # Sufficient decrease and curvature of a step, and how many points a search may try.
 DECREASE, CURVATURE, TRIES = 1e-4, 0.9, 10
