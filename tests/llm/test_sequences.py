@@ -98,6 +98,14 @@ def test_periodic_runs_on_odd_rows(spark):
     assert [(r["doc_id"], len(r["runs"]), r["collapsed"]) for r in periodic_runs.periodic_runs(lists, F.col("words")).orderBy("doc_id").collect()] == [(1, 1, "a"), (2, 0, ""), (3, 0, "")]
 
 
+def test_planted_runs_on_odd_rows(spark):
+    """Texts without words, of which some are told to get a run, stay empty."""
+    rows = [(i, t) for i in range(40) for t in (None, "", " \t\n")] + [(None, None), (None, "a b c d e f g"), (7, "a b c d e f g")]
+    words = periodic_runs.planted_words(odd_docs(spark, rows))
+    found = sorted((tuple(r) for r in periodic_runs.runs_digest(periodic_runs.periodic_runs(words, F.col("words"))).collect()), key=repr)
+    assert found == sorted(((i, *brute_run_row(i, t)) for i, t in rows), key=repr)
+
+
 def test_runs_do_not_cross_rows_and_slices(spark, monkeypatch):
     monkeypatch.setattr(periodic_runs, "SLICE_WORDS", 10)
     rows = [(i, "a b " * (i % 4)) for i in range(1, 60)]

@@ -171,13 +171,13 @@ def periodic_runs(docs: DataFrame, words: Column | None = None, text: str = "tex
 def planted_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and `words`; about a tenth of the documents, told by the checksum of their id, get a planted run.
 
-    A null id counts as the text 'null'.
+    A null id counts as the text 'null'. A text without words stays as it is.
     """
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     n = F.size("w").cast("long")
     g = F.floor(h / 10)
     split = docs.select(F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("w"))
-    placed = split.select("doc_id", "w", (n - g % n).cast("int").alias("rest"), F.when((h % 10 == 0) & (n > 0), 3 + g % 8).alias("parts"))
+    placed = split.select("doc_id", "w", (n - F.try_mod(g, n)).cast("int").alias("rest"), F.when((h % 10 == 0) & (n > 0), 3 + g % 8).alias("parts"))
     rest = F.col("rest")
     period = (1 + F.floor(rest / F.col("parts"))).cast("int")
     head, block = F.slice("w", 1, F.size("w") - rest), F.slice("w", F.size("w") - rest + 1, period)
